@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kinloom.llm.lookalike import canonical_text
 from kinloom.llm.topn import top_n_by_bisection
 from kinloom.sources.tables import table
 
@@ -16,13 +17,34 @@ def p4_found(spark: SparkSession, base: str) -> DataFrame:
     return p4_top_candidates(spark, base).select("source1_entity_id", "cand_id")
 
 
+def pool(spark: SparkSession, base: str) -> DataFrame:
+    """The records of s2 and s3, each ``entity_id`` once."""
+    cols = ["entity_id", "business_name", "business_address", "country"]
+    s2, s3 = (table(spark, base, t).select(*cols) for t in ("s2", "s3"))
+    return s2.unionByName(s3).dropDuplicates(["entity_id"])
+
+
+def p6_canonical_names(spark: SparkSession, base: str) -> DataFrame:
+    names = pool(spark, base).select("entity_id", "business_name")
+    return canonical_text(names, "business_name", "canonical_name", "affected")
+
+
+def p6_found(spark: SparkSession, base: str) -> DataFrame:
+    return p6_canonical_names(spark, base).where("affected").select("entity_id")
+
+
 _P4 = """
     FROM (SELECT source1_entity_id, cand_id, max(CAST(bscore AS DOUBLE)) AS bscore FROM candidate_pairs
           WHERE source1_entity_id IS NOT NULL AND cand_id IS NOT NULL AND bscore IS NOT NULL AND NOT isnan(bscore)
           GROUP BY 1, 2)
     QUALIFY row_number() OVER (PARTITION BY source1_entity_id ORDER BY bscore DESC, cand_id) <= 5"""
 
-QUERIES = {"p4_found": p4_found, "p4_top_candidates": p4_top_candidates}
+QUERIES = {
+    "p4_found": p4_found,
+    "p4_top_candidates": p4_top_candidates,
+    "p6_found": p6_found,
+    "p6_canonical_names": p6_canonical_names,
+}
 ORACLES = {
     "p4_found": "SELECT source1_entity_id, cand_id" + _P4,
     "p4_top_candidates": "SELECT source1_entity_id, cand_id, bscore" + _P4,
