@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kinloom.llm.lookalike import canonical_text
+from kinloom.llm.mojibake import repair
 from kinloom.llm.topn import top_n_by_bisection
 from kinloom.sources.tables import table
 
@@ -33,6 +34,15 @@ def p6_found(spark: SparkSession, base: str) -> DataFrame:
     return p6_canonical_names(spark, base).where("affected").select("entity_id")
 
 
+def p9_repaired_documents(spark: SparkSession, base: str) -> DataFrame:
+    docs = table(spark, base, "documents").select("doc_id", "text", "source")
+    return repair(docs, "text", "source").select("doc_id", "source", "garbled", "chains", "repaired")
+
+
+def p9_found(spark: SparkSession, base: str) -> DataFrame:
+    return p9_repaired_documents(spark, base).where("garbled").select("doc_id")
+
+
 _P4 = """
     FROM (SELECT source1_entity_id, cand_id, max(CAST(bscore AS DOUBLE)) AS bscore FROM candidate_pairs
           WHERE source1_entity_id IS NOT NULL AND cand_id IS NOT NULL AND bscore IS NOT NULL AND NOT isnan(bscore)
@@ -44,6 +54,8 @@ QUERIES = {
     "p4_top_candidates": p4_top_candidates,
     "p6_found": p6_found,
     "p6_canonical_names": p6_canonical_names,
+    "p9_found": p9_found,
+    "p9_repaired_documents": p9_repaired_documents,
 }
 ORACLES = {
     "p4_found": "SELECT source1_entity_id, cand_id" + _P4,
