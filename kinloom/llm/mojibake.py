@@ -35,6 +35,8 @@ CHAINS: tuple[tuple[tuple[str, str], ...], ...] = (
 )
 CHAINS = tuple(dict.fromkeys(CHAINS))
 NAMES = tuple("+".join(f"{true}>{wrong}" for wrong, true in chain) or "sound" for chain in CHAINS)
+#: For each chain, the chain of its first step alone.
+_FIRST = tuple(CHAINS.index(chain[:1]) for chain in CHAINS)
 LOST = "�"
 _RUN = re.compile(r"[^\x00-\x7f]+")
 _MULTI = re.compile(rb"(?:[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3})+")
@@ -183,7 +185,9 @@ class LineJudge:
             for k in range(1, len(CHAINS)):
                 new = undo(word, k)
                 if new != word:
-                    gains[k] = self.score(new) - sound
+                    # kept apart with a negative key: here the second step has nothing to undo
+                    alone = len(CHAINS[k]) > 1 and new == undo(word, _FIRST[k])
+                    gains[-k if alone else k] = self.score(new) - sound
             known = self._known[word] = (sound, gains)
         return known
 
@@ -193,7 +197,8 @@ class LineJudge:
         for word in _words(line):
             for k, g in self.word(word)[1].items():
                 gains[k] = gains.get(k, 0.0) + g
-        return gains
+        # a chain of two steps needs a word in which both took place
+        return {k: g + gains.get(-k, 0.0) for k, g in gains.items() if k > 0}
 
 
 def _posterior(gains: dict[int, float], log_prior: list[float]) -> tuple[int, float]:
