@@ -33,7 +33,7 @@ ADDRESS_SHORT = {
     "parkway": "pkwy", "pky": "pkwy", "square": "sq", "expressway": "expy", "mount": "mt", "fort": "ft", "saint": "st",
     "north": "n", "south": "s", "so": "s", "east": "e", "west": "w", "township": "twp", "county": "cnty", "route": "rte",
     "nagar": "ngr", "ngar": "ngr", "colony": "col", "clny": "col", "market": "mkt", "marg": "mg", "gali": "ln", "sector": "sec", "phase": "ph", "cross": "crs",
-    "layout": "lyt", "extension": "extn", "ext": "extn", "allee": "all", "impasse": "imp", "chemin": "ch", "springs": "spgs",
+    "layout": "lyt", "extension": "extn", "ext": "extn", "allee": "all", "impasse": "imp", "chemin": "ch", "che": "ch", "springs": "spgs",
     "bengaluru": "bangalore", "gurugram": "gurgaon", "bombay": "mumbai",
 }
 #: Words that only announce a number or a part of a building.
