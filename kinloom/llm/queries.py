@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kinloom.llm.addresses import locate, same_location_pairs
 from kinloom.llm.lookalike import canonical_text
 from kinloom.llm.mojibake import repair
 from kinloom.llm.topn import top_n_by_bisection
@@ -25,6 +26,15 @@ def pool(spark: SparkSession, base: str) -> DataFrame:
     return s2.unionByName(s3).dropDuplicates(["entity_id"])
 
 
+def p2_found(spark: SparkSession, base: str) -> DataFrame:
+    return same_location_pairs(pool(spark, base), "entity_id", "business_address", "country")
+
+
+def p2_locations(spark: SparkSession, base: str) -> DataFrame:
+    """One row per differently written address with its location."""
+    return locate(pool(spark, base), "entity_id", "business_address", "country")
+
+
 def p6_canonical_names(spark: SparkSession, base: str) -> DataFrame:
     names = pool(spark, base).select("entity_id", "business_name")
     return canonical_text(names, "business_name", "canonical_name", "affected")
@@ -50,6 +60,8 @@ _P4 = """
     QUALIFY row_number() OVER (PARTITION BY source1_entity_id ORDER BY bscore DESC, cand_id) <= 5"""
 
 QUERIES = {
+    "p2_found": p2_found,
+    "p2_locations": p2_locations,
     "p4_found": p4_found,
     "p4_top_candidates": p4_top_candidates,
     "p6_found": p6_found,
