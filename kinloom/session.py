@@ -10,6 +10,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,3 +76,18 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     from pyspark.sql import functions as F
 
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, so that functions run there find it wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_kinloom_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="kinloom-package-")) / "kinloom_package.zip"
+    _OWN_DIRS.append(str(target.parent))
+    with zipfile.ZipFile(target, "w") as z:
+        for path in root.rglob("*.py"):
+            z.write(path, path.relative_to(root.parent))
+    sc.addPyFile(str(target))
+    sc._kinloom_shipped = True
