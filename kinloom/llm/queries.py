@@ -8,6 +8,7 @@ from kinloom.llm.addresses import locate, same_location_pairs
 from kinloom.llm.lookalike import canonical_text
 from kinloom.llm.mojibake import repair
 from kinloom.llm.topn import top_n_by_bisection
+from kinloom.llm.variants import name_clusters, variant_pairs
 from kinloom.sources.tables import table
 
 
@@ -35,6 +36,15 @@ def p2_locations(spark: SparkSession, base: str) -> DataFrame:
     return locate(pool(spark, base), "entity_id", "business_address", "country")
 
 
+def p5_found(spark: SparkSession, base: str) -> DataFrame:
+    return variant_pairs(pool(spark, base), "entity_id", "business_name", "business_address", "country")
+
+
+def p5_name_clusters(spark: SparkSession, base: str) -> DataFrame:
+    """One row per stored name with the cluster of names it belongs to."""
+    return name_clusters(pool(spark, base), "business_name", "business_address", "country")
+
+
 def p6_canonical_names(spark: SparkSession, base: str) -> DataFrame:
     names = pool(spark, base).select("entity_id", "business_name")
     return canonical_text(names, "business_name", "canonical_name", "affected")
@@ -64,6 +74,8 @@ QUERIES = {
     "p2_locations": p2_locations,
     "p4_found": p4_found,
     "p4_top_candidates": p4_top_candidates,
+    "p5_found": p5_found,
+    "p5_name_clusters": p5_name_clusters,
     "p6_found": p6_found,
     "p6_canonical_names": p6_canonical_names,
     "p9_found": p9_found,
