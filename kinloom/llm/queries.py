@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kinloom.llm.addresses import locate, same_location_pairs
+from kinloom.llm.cascade import cascade
 from kinloom.llm.lookalike import canonical_text
 from kinloom.llm.mojibake import repair
 from kinloom.llm.topn import top_n_by_bisection
@@ -36,6 +38,21 @@ def p2_locations(spark: SparkSession, base: str) -> DataFrame:
     return locate(pool(spark, base), "entity_id", "business_address", "country")
 
 
+def p3_matches(spark: SparkSession, base: str) -> DataFrame:
+    """All matches of s1 and s2 with rule and confidence, the labelled ones included."""
+    known = table(spark, base, "known_matches")
+    labels = known.select("source1_entity_id", F.explode_outer(F.split("matched_entity_ids", ",")).alias("m")).select(
+        "source1_entity_id", F.nullif(F.trim("m"), F.lit("")).alias("entity_id")
+    )
+    s1 = table(spark, base, "s1").withColumnRenamed("entity_id", "source1_entity_id")
+    return cascade(s1, table(spark, base, "s2"), labels, "source1_entity_id", "entity_id", "business_name", "business_address", "country")
+
+
+def p3_found(spark: SparkSession, base: str) -> DataFrame:
+    known = table(spark, base, "known_matches").select("source1_entity_id").distinct()
+    return p3_matches(spark, base).join(known, "source1_entity_id", "left_anti").select("source1_entity_id", "entity_id").distinct()
+
+
 def p5_found(spark: SparkSession, base: str) -> DataFrame:
     return variant_pairs(pool(spark, base), "entity_id", "business_name", "business_address", "country")
 
@@ -72,6 +89,8 @@ _P4 = """
 QUERIES = {
     "p2_found": p2_found,
     "p2_locations": p2_locations,
+    "p3_found": p3_found,
+    "p3_matches": p3_matches,
     "p4_found": p4_found,
     "p4_top_candidates": p4_top_candidates,
     "p5_found": p5_found,
