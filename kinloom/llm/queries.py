@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from kinloom.llm.addresses import locate, same_location_pairs
 from kinloom.llm.cascade import cascade
 from kinloom.llm.lookalike import canonical_text
+from kinloom.llm.mixing import mix
 from kinloom.llm.mojibake import repair
+from kinloom.llm.packing import fill_report, pack
 from kinloom.llm.topn import top_n_by_bisection
 from kinloom.llm.variants import name_clusters, variant_pairs
 from kinloom.sources.tables import table
@@ -71,6 +73,27 @@ def p6_found(spark: SparkSession, base: str) -> DataFrame:
     return p6_canonical_names(spark, base).where("affected").select("entity_id")
 
 
+def p7_packed(spark: SparkSession, base: str) -> DataFrame:
+    docs = table(spark, base, "documents")
+    return pack(docs, "doc_id", "text", table(spark, base, "pack_sizes"), "pack_kind", "capacity_tokens")
+
+
+def p7_fill_report(spark: SparkSession, base: str) -> DataFrame:
+    return fill_report(p7_packed(spark, base))
+
+
+def _mixed(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    return mix(table(spark, base, "documents"), "doc_id", "text", "source", "lang", table(spark, base, "mix_targets"))
+
+
+def p8_mixture(spark: SparkSession, base: str) -> DataFrame:
+    return _mixed(spark, base)[0]
+
+
+def p8_reached_shares(spark: SparkSession, base: str) -> DataFrame:
+    return _mixed(spark, base)[1]
+
+
 def p9_repaired_documents(spark: SparkSession, base: str) -> DataFrame:
     docs = table(spark, base, "documents").select("doc_id", "text", "source")
     return repair(docs, "text", "source").select("doc_id", "source", "garbled", "chains", "repaired")
@@ -97,6 +120,10 @@ QUERIES = {
     "p5_name_clusters": p5_name_clusters,
     "p6_found": p6_found,
     "p6_canonical_names": p6_canonical_names,
+    "p7_packed": p7_packed,
+    "p7_fill_report": p7_fill_report,
+    "p8_mixture": p8_mixture,
+    "p8_reached_shares": p8_reached_shares,
     "p9_found": p9_found,
     "p9_repaired_documents": p9_repaired_documents,
 }
