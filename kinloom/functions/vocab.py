@@ -22,30 +22,30 @@ IN_STATES = {
     "rajasthan": "rj", "sikkim": "sk", "tamil nadu": "tn", "telangana": "tg", "tripura": "tr", "uttar pradesh": "up",
     "uttarakhand": "uk", "west bengal": "wb",
     "andhr pradesh": "ap", "dilli": "dl", "gujrat": "gj", "hariyana": "hr", "karnatak": "ka", "keral": "kl",
-    "madhy pradesh": "mp", "maharashtr": "mh", "panjab": "pb", "tamilnadu": "tn", "telangan": "tg", "ts": "tg",
+    "nct of delhi": "dl", "pondicherry": "py", "uttaranchal": "uk", "pashchim bangal": "wb", "madhy pradesh": "mp", "maharashtr": "mh", "panjab": "pb", "tamilnadu": "tn", "telangan": "tg", "ts": "tg",
 }
 STATE_CODES = {**IN_STATES, **{code: code for code in IN_STATES.values()}, **US_STATES, **{code: code for code in US_STATES.values()}}
 
 #: Short forms of words in addresses.
 ADDRESS_SHORT = {
-    "road": "rd", "street": "st", "str": "st", "avenue": "ave", "av": "ave", "lane": "ln", "drive": "dr", "drv": "dr", "court": "ct", "crt": "ct",
-    "terrace": "ter", "trail": "trl", "boulevard": "blvd", "boul": "blvd", "bld": "blvd", "bd": "blvd", "bvd": "blvd", "highway": "hwy", "place": "pl", "circle": "cir",
-    "parkway": "pkwy", "pky": "pkwy", "square": "sq", "expressway": "expy", "mount": "mt", "fort": "ft", "saint": "st",
-    "north": "n", "south": "s", "so": "s", "east": "e", "west": "w", "township": "twp", "county": "cnty", "route": "rte",
-    "nagar": "ngr", "ngar": "ngr", "colony": "col", "clny": "col", "market": "mkt", "marg": "mg", "gali": "ln", "sector": "sec", "phase": "ph", "cross": "crs",
-    "layout": "lyt", "extension": "extn", "ext": "extn", "allee": "all", "impasse": "imp", "chemin": "ch", "che": "ch", "springs": "spgs",
-    "bengaluru": "bangalore", "gurugram": "gurgaon", "bombay": "mumbai",
+    "allee": "all", "av": "ave", "avenue": "ave", "bd": "blvd", "bengaluru": "bangalore", "bombay": "mumbai", "boulevard": "blvd",
+    "bvd": "blvd", "chemin": "ch", "circle": "cir", "colony": "col", "county": "cnty", "court": "ct", "cross": "crs", "cty": "cnty",
+    "drive": "dr", "east": "e", "expressway": "expy", "ext": "extn", "extension": "extn", "fort": "ft", "ftt": "ft",
+    "gurugram": "gurgaon", "highway": "hwy", "impasse": "imp", "lane": "ln", "layout": "lyt", "mount": "mt", "mtt": "mt",
+    "nagar": "ngr", "ngar": "ngr", "north": "n", "parkway": "pkwy", "phase": "ph", "place": "pl", "r": "rue", "road": "rd",
+    "route": "rte", "rue": "rue", "saint": "st", "sector": "sec", "south": "s", "square": "sq", "str": "st", "street": "st",
+    "terrace": "ter", "township": "twp", "trail": "trl", "twnship": "twp", "west": "w",
 }
 #: Words that only announce a number or a part of a building.
 DESIGNATORS = (
-    "no", "nos", "h", "hno", "house", "door", "d", "dno", "plot", "flat", "unit", "apt", "apartment", "suite", "ste", "office", "level",
+    "no", "nos", "h", "hno", "house", "door", "dno", "plot", "flat", "unit", "apt", "apartment", "suite", "ste", "office", "level",
     "floor", "fl", "bldg", "building", "shop", "po", "box", "near", "opp", "behind", "c", "o", "s", "at",
 )
 #: Legal forms and designations to one short form.
 LEGAL_FORMS = {
     "private": "pvt", "pvt": "pvt", "pvte": "pvt", "prvt": "pvt", "prv": "pvt", "prvhte": "pvt", "praivet": "pvt", "praivat": "pvt",
-    "limited": "ltd", "ltd": "ltd", "limitad": "ltd", "limitd": "ltd", "limitet": "ltd",
-    "llp": "llp", "elelpi": "llp", "opc": "opc", "llc": "llc", "lc": "llc", "inc": "inc", "incorporated": "inc", "corp": "corp",
+    "pra": "pvt", "piraivet": "pvt", "limited": "ltd", "ltd": "ltd", "limitad": "ltd", "limitd": "ltd", "limitet": "ltd", "li": "ltd",
+    "llp": "llp", "elelpi": "llp", "elaelpi": "llp", "opc": "opc", "llc": "llc", "lc": "llc", "inc": "inc", "incorporated": "inc", "corp": "corp",
     "corporation": "corp", "co": "co", "company": "co", "kampani": "co", "plc": "plc", "lp": "lp", "pllc": "pllc", "pc": "pc",
     "pa": "pa", "esq": "esq", "dc": "dc", "dpm": "dpm", "md": "md", "dds": "dds", "cpa": "cpa", "sarl": "sarl", "sas": "sas",
     "sasu": "sasu", "sa": "sa", "sci": "sci", "eurl": "eurl", "snc": "snc", "scp": "scp", "selarl": "selarl", "scop": "scop",
