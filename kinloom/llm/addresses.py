@@ -32,9 +32,13 @@ _COUNTRY = re.compile(r"\bu\.?\s?s\.?\s?a\b\.?|\bunited states(?: of america)?\b
 _MULTI = re.compile(r"\b(?:" + "|".join(sorted((s for s in STATE_CODES if " " in s), key=len, reverse=True)) + r")\b")
 _NAGAR = re.compile(r"(?<=[a-z]{2})n(?:a?gr|gar)$")
 _TOKENS = re.compile(r"[a-z0-9]+")
+#: Further kinds of streets and their short forms.
+_KINDS = (
+    "bld", "boul", "che", "clny", "crt", "drv", "gali", "market", "marg", "mg", "mkt", "pky", "rue", "so", "spgs", "springs",
+)
 #: Words that say little about a place: kinds of streets, directions, generic parts of town names.
 _GENERIC = frozenset(
-    [*ADDRESS_SHORT, *ADDRESS_SHORT.values(), *DESIGNATORS, "rue", "r", "quai", "cours", "falls", "spring", "city", "town", "village", "sur", "mer", "les", "bains", "le", "la", "de", "du", "des"]
+    [*ADDRESS_SHORT, *ADDRESS_SHORT.values(), *DESIGNATORS, *_KINDS, "d", "rue", "r", "quai", "cours", "falls", "spring", "city", "town", "village", "sur", "mer", "les", "bains", "le", "la", "de", "du", "des"]
     + ["the", "us", "number", "num", "door", "etage", "and", "bis", "nord", "sud", "est", "ouest", "way", "lane"]
 )
 _STATES = {"US": {**US_STATES, **{c: c for c in US_STATES.values()}}, "India": {**IN_STATES, **{c: c for c in IN_STATES.values()}}, "France": {}}

@@ -38,7 +38,7 @@ SHORT_WORDS = {
 #: Words that are put in the place of a word of any kind say nothing: "Unit 2", "Holdings", "Partners", "Group".
 #: Designations that tell businesses of one person apart are kept as words.
 _KEEP = {"cpa", "dds", "dpm", "esq", "md"}
-_DROP = (set(LEGAL_FORMS) - _KEEP) | set(NAME_STOPWORDS) | {"liability", "incorp", "limite", "anonyme", "lte", "pvtltd", "ms"} | {"unit", "holdings", "partners", "group"}
+_DROP = (set(LEGAL_FORMS) - _KEEP - {"pra", "li"}) | set(NAME_STOPWORDS) | {"liability", "incorp", "limite", "anonyme", "lte", "pvtltd", "ms"} | {"unit", "holdings", "partners", "group"}
 _LONG_DROP = ("company", "corporation", "group", "holdings", "incorporated", "limited", "partners", "private", "liability")
 _SECOND = re.compile(r"\(?\b(?:d\s*/\s*b\s*/\s*a|dba|f\s*/\s*k\s*/\s*a|fka|a\s*/\s*k\s*/\s*a|aka|t\s*/\s*a|trading as|doing business as|formerly known as|formerly|previously|also known as|anciennement)\b")
 _SITE = re.compile(r"(?:https?://|www\.)|\.(?:example|com|net|org|biz|info|io|us|fr|in|co\.in|org\.in|net\.in)\b")
