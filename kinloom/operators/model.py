@@ -40,15 +40,14 @@ def hash_order(id_col: str, seed: int = SEED) -> Column:
 
 
 def split_entities(ids: DataFrame, n_train: int, n_valid: int, id_col: str = G, seed: int = SEED) -> DataFrame:
-    """``id_col, part`` (train, valid): the first ids in seeded order; at most 80 % for training.
+    """``id_col, part`` (train, valid): the ids of the first part of a seeded hash range, and of the next; at most 80 % for training.
 
-    The order is cut at two hash values found by rank among the ids, without a window over all of them in one task.
+    The parts hold the wanted numbers up to chance; each id alone decides where it belongs, so no order over all ids is needed.
     """
     ids = ids.select(id_col).distinct()
     n = ids.count()
     n_train = min(n_train, int(n * 0.8))
     n_valid = min(n_valid, n - n_train)
-    # a share of the hash range: for n ids it holds close to the wanted number, and every id alone decides its part
     h = F.pmod(hash_order(id_col, seed), F.lit(2**40)) / F.lit(float(2**40))
     low, high = n_train / max(n, 1), (n_train + n_valid) / max(n, 1)
     return ids.withColumn("part", F.when(h < low, "train").when(h < high, "valid")).where("part is not null")

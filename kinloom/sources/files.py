@@ -36,7 +36,7 @@ def read_source(spark: SparkSession, path: str, n_rows: int | None = None) -> Da
 
 def parse_ground_truth(df: DataFrame) -> DataFrame:
     """``source1_entity_id, matched, n_matches`` from comma lists; stray blanks and empty entries are dropped."""
-    ids = F.filter(F.transform(F.split(F.coalesce("matched_entity_ids", F.lit("")), ","), F.trim), lambda x: x != "")
+    ids = F.filter(F.transform(F.split(F.coalesce("matched_entity_ids", F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
     return df.select("source1_entity_id", ids.alias("matched")).withColumn("n_matches", F.size("matched"))
 
 
