@@ -231,8 +231,8 @@ def unclaimed(pool: DataFrame, selected: DataFrame, scored: DataFrame) -> DataFr
 
 def rarest_shared_keys(keys_clean: DataFrame, pool_keys: DataFrame, truth_pairs: DataFrame) -> DataFrame:
     """Per true pair the smallest block it shares and its type: ``G, matched_id, t, df``; absent where it shares none."""
-    mine = truth_pairs.join(keys_clean.select(F.col("id").alias(G), "country", "key"), G)
-    shared = mine.join(pool_keys.withColumnRenamed("cand_id", "matched_id"), ["matched_id", "country", "key"])
+    mine = truth_pairs.join(keys_clean.select(F.col("id").alias(G), "h"), G)
+    shared = mine.join(pool_keys.withColumnRenamed("cand_id", "matched_id"), ["matched_id", "h"])
     return shared.groupBy(G, "matched_id").agg(F.min(F.struct("df", "t")).alias("m")).select(G, "matched_id", F.col("m.t").alias("t"), F.col("m.df").alias("df"))
 
 

@@ -289,18 +289,23 @@ def q_block_recall(spark, base):
 
 
 def q_rarest_shared_key(spark, base):
-    keys = blocking.record_keys(simple_views(clean(spark, base)))
+    keys = blocking.hashed_keys(simple_views(clean(spark, base)))
     return diagnostics.rarest_shared_keys(keys, blocking.pool_keys(simple_views(pool(spark, base)), max(CAPS.values())), explode_ground_truth(truth(spark, base)))
 
 
+def _views(spark, base) -> tuple[DataFrame, DataFrame]:
+    """Full views of both sides, made once: they are read several times below."""
+    return materialize(add_views(clean(spark, base)), "clean-views"), materialize(add_views(pool(spark, base)), "pool-views")
+
+
 def q_candidates_v17(spark, base):
     """Candidates of the final configuration over the full views."""
-    c = blocking.generate_candidates(add_views(clean(spark, base)), add_views(pool(spark, base)), PRESETS["v17"])
+    c = blocking.generate_candidates(*_views(spark, base), PRESETS["v17"])
     return c.withColumn("bscore", F.round("bscore", 6))
 
 
 def q_candidates_union(spark, base):
-    c = blocking.generate_candidates(add_views(clean(spark, base)), add_views(pool(spark, base)), PRESETS["v8"])
+    c = blocking.generate_candidates(*_views(spark, base), PRESETS["v8"])
     return c.withColumn("bscore", F.round("bscore", 6))
 
 
@@ -439,7 +444,7 @@ def q_fuzz_ratios(spark, base):
 
 
 def _features(spark, base) -> DataFrame:
-    a, b = features.add_name_freq(add_views(clean(spark, base))), features.add_name_freq(add_views(pool(spark, base)))
+    a, b = (features.add_name_freq(v) for v in _views(spark, base))
     return features.compute_features(_pairs(spark, base), a, b, features.token_idf(a, b))
 
 
