@@ -18,7 +18,7 @@ from kinloom.functions.vocab import ADDRESS_SHORT, DESIGNATORS, IN_STATES, STATE
 from kinloom.llm.matching import alike, components, fold, matched_words, unscan
 from kinloom.session import materialize
 
-COSINE = 0.4
+COSINE = 0.3
 _EMPTY = re.compile(r"<\s*null\s*>|\bnull\b|\bn\s*/\s*a\b|\bnone\b|\bnil\b|\bunknown\b|\bnot available\b|\bna\b(?=\s*$)")
 _SUITE = re.compile(r"\b(?:suite|ste|unit|apt|apartment|floor|fl|level|room|rm)\b\.?\s*(?:no\b\.?)?\s*#?\s*\d+[a-z]?\b")
 _AFTER_DESIGNATOR = re.compile(r"(?<=plot|shop|flat|door)[\s.]*#|(?<=house)[\s.]*#|(?<=\bno)[\s.]*#")
@@ -206,8 +206,8 @@ def locate(records: DataFrame, id_col: str, address: str, country: str, cosine:
 
     * Null, empty and placeholder addresses, and such without a house number or a telling word, denote none.
     * Equal addresses have equal locations; repeated rows change nothing. Texts of any length are read whole.
-    * Pairs that verify as the same building are joined to components. An address that lacks its town and postal code goes
-      with the location it agrees with only if there is just one.
+    * Pairs that verify as the same building are joined to components. A location known without its town or without its postal code
+      goes with another it agrees with only if that is the only one.
     * An empty table gives an empty result; other columns are ignored.
     """
     stored, forms = address_forms(records, id_col, address, country)
@@ -220,24 +220,34 @@ def locate(records: DataFrame, id_col: str, address: str, country: str, cosine:
         candidate_forms(forms, cosine)
         .withColumn("v", verdict("x.words", "y.words", "x.postal", "y.postal", "x.state", "y.state"))
         .where("v > 0")
-        .select("a", "b", "v", F.size("x.words").alias("na"), F.size("y.words").alias("nb"), F.col("x.postal").alias("pa"), F.col("y.postal").alias("pb")),
+        .select("a", "b", "v"),
         "judged",
     )
     strong = components(judged.where("v = 2"), "a", "b")
     placed = forms.select("form", F.col("form").alias("own")).join(strong.withColumnRenamed("node", "form"), "form", "left").select("form", F.coalesce("component", "own").alias("location"))
     placed = materialize(placed, "placed")
-    # weak pairs: the side without town and postal code follows the other side if that has one location only
-    weak = judged.where("v = 1")
-    bare_a, bare_b = F.expr("na = 1 and pa = ''"), F.expr("nb = 1 and pb = ''")
-    follow = weak.where(bare_a & ~bare_b).select(F.col("a").alias("bare"), F.col("b").alias("form")).union(weak.where(bare_b & ~bare_a).select(F.col("b").alias("bare"), F.col("a").alias("form")))
-    target = (
-        follow.join(placed, "form")
-        .join(placed.select(F.col("form").alias("bare"), F.col("location").alias("from")), "bare")
-        .groupBy("from")
-        .agg(F.min("location").alias("one"), F.max("location").alias("other"))
-        .where("one = other")
-        .select(F.col("from").alias("location"), "one")
+    # weak pairs between locations: one that has neither town nor postal code follows the other if that is its only choice, and two
+    # of which one knows only its town and the other only its code are joined if each is the other's only choice
+    known = placed.join(forms.select("form", (F.size("words") > 1).alias("t"), (F.col("postal") != "").alias("c")), "form").groupBy("location").agg(F.bool_or("t").alias("t"), F.bool_or("c").alias("c"))
+    weak = (
+        judged.where("v = 1")
+        .join(placed.select(F.col("form").alias("a"), F.col("location").alias("la")), "a")
+        .join(placed.select(F.col("form").alias("b"), F.col("location").alias("lb")), "b")
+        .where("la <> lb")
+        .join(known.select(F.col("location").alias("la"), F.col("t").alias("ta"), F.col("c").alias("ca")), "la")
+        .join(known.select(F.col("location").alias("lb"), F.col("t").alias("tb"), F.col("c").alias("cb")), "lb")
+        .where("not (ta and tb) and not (ca and cb)")
     )
+    bare_a, bare_b = F.expr("not ta and not ca"), F.expr("not tb and not cb")
+    sides = weak.select(F.col("la").alias("from"), F.col("lb").alias("to"), bare_a.alias("bare"), bare_b.alias("other_bare")).union(
+        weak.select(F.col("lb"), F.col("la"), bare_b, bare_a)
+    )
+    choice = materialize(
+        sides.groupBy("from").agg(F.min("to").alias("one"), F.max("to").alias("other"), F.bool_and("bare").alias("bare"), F.bool_or("other_bare").alias("to_bare")).where("one = other"), "choices"
+    )
+    back = choice.select(F.col("from").alias("one"), F.col("one").alias("back"))
+    mutual = choice.where("not bare").join(back, "one").where("back = from and one < from").select("from", "one")
+    target = choice.where("bare and not to_bare").select("from", "one").union(mutual).groupBy("from").agg(F.min("one").alias("one")).select(F.col("from").alias("location"), "one")
     placed = placed.join(target, "location", "left").select("form", F.coalesce("one", "location").alias("location"))
     return stored.join(placed, "form").select("address", "country", "location")
 
