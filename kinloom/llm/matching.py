@@ -62,7 +62,9 @@ def distance(a: str, b: str, most: int = 2) -> int:
 
 
 def alike(a: str, b: str) -> bool:
-    """The same word up to typing errors: one in words of four letters or more, two in words of eight or more."""
+    """The same word up to typing errors: one in words of four letters or more, two in words of eight or more; "rn" passes for "m"."""
+    if "rn" in a or "rn" in b:
+        a, b = a.replace("rn", "m"), b.replace("rn", "m")
     return a == b or (min(len(a), len(b)) >= 4 and distance(a, b, 2) <= (2 if min(len(a), len(b)) >= 8 else 1))
 
 

@@ -14,8 +14,8 @@ from kinloom.llm.matching import alike, distance, fold, unscan
 NICKNAMES = {
     "alexander": "alex sandy xander", "alexandre": "alex", "charles": "charlie chuck chas", "christophe": "chr chris", "dinesh": "dinu",
     "edward": "ed eddie ned ted", "elisabeth": "babette elise lise", "elizabeth": "beth betsy betty eliz eliza liz lizzie",
-    "francois": "fr francis", "frederic": "fred freddy", "genevieve": "ginette viviane", "jean": "jeannot", "jennifer": "jen jenn jenny",
-    "josephine": "jo josette josie", "katherine": "catherine kate kathy kathie katie kay kit", "krishna": "kishan kishen krish", "lakshmi": "laxmi",
+    "francois": "fr francis", "frederic": "fred freddy fredo", "genevieve": "ginette viviane", "jean": "jeannot", "jennifer": "jen jenn jenny",
+    "josephine": "jo josette josie", "katherine": "catherine kate kathy kathie katie kay kit", "krishna": "kishan kishen krish", "lakshmi": "lakshmee laxmi laxmee",
     "margaret": "maggie margie marge meg peggy", "mohammed": "md mohamed mohammad mohd muhammad", "patricia": "pat patsy patti patty tricia trish",
     "rajendra": "raj rajinder raju", "richard": "dick rich rick ricky", "robert": "bob bobby rob robbie", "suresh": "suri",
     "theodore": "ted teddy theo", "venkatesh": "venkat venky", "william": "bill billy liam will willie wm", "chaudhary": "chaudhari choudhary choudhury chowdhury",
@@ -24,6 +24,8 @@ GIVEN: dict[str, frozenset[str]] = {}
 for _name, _shorts in NICKNAMES.items():
     for _short in [_name, *_shorts.split()]:
         GIVEN[_short] = GIVEN.get(_short, frozenset()) | {_name}
+_LONG_GIVEN = tuple(sorted(g for g in GIVEN if len(g) >= 6))
+_SPOKEN = tuple(sorted((g for g in GIVEN if len(g) >= 3), key=lambda g: (-len(g), g)))
 #: Usual short forms of words in business names.
 SHORT_WORDS = {
     "acad": "academy", "adv": "advisors", "agri": "agricole", "assn": "associates", "assoc": "associates", "bat": "batiment", "bldg": "building", "bros": "brothers",
@@ -32,13 +34,13 @@ SHORT_WORDS = {
     "engrg": "engineering", "ent": "enterprises", "equip": "equipment", "est": "estate", "ets": "etablissements", "fam": "family", "fin": "financial", "fmly": "family", "furn": "furniture", "gen": "general",
     "gp": "group", "grp": "group", "hosp": "hospital", "ind": "industries", "inds": "industries", "ins": "insurance", "intl": "international", "inv": "investment", "lab": "laboratories", "labs": "laboratories",
     "med": "medical", "mfg": "manufacturing", "mgmt": "management", "mgmnt": "management", "mgt": "management", "natl": "national", "nyu": "new", "org": "organisation",
-    "pharm": "pharmacy", "phcy": "pharmacy", "pkg": "packaging", "ppty": "property", "prop": "property", "rep": "repair", "ste": "societe", "soc": "societe", "serv": "services", "svc": "services", "svcs": "services",
+    "phcy": "pharmacy", "pkg": "packaging", "ppty": "property", "prop": "property", "rep": "repair", "ste": "societe", "soc": "societe", "serv": "services", "svc": "services", "svcs": "services",
     "tech": "technologies", "trans": "transport", "trd": "trading", "utd": "united", "univ": "universal", "vet": "veterinary",
 }
-#: Words that are put in the place of a word of any kind say nothing: "Unit 2", "Holdings", "Partners", "Group".
+#: Words that are put in the place of a word of any kind say nothing: "Unit 2", "Holdings", "Partners", "Group", "Center".
 #: Designations that tell businesses of one person apart are kept as words.
 _KEEP = {"cpa", "dds", "dpm", "esq", "md"}
-_DROP = (set(LEGAL_FORMS) - _KEEP - {"pra", "li"}) | set(NAME_STOPWORDS) | {"liability", "incorp", "limite", "anonyme", "lte", "pvtltd", "ms"} | {"unit", "holdings", "partners", "group"}
+_DROP = (set(LEGAL_FORMS) - _KEEP - {"pra", "li"}) | set(NAME_STOPWORDS) | {"liability", "incorp", "limite", "anonyme", "lte", "pvtltd", "ms"} | {"unit", "holdings", "partners", "group", "center", "centre"}
 _LONG_DROP = ("company", "corporation", "group", "holdings", "incorporated", "limited", "partners", "private", "liability")
 _SECOND = re.compile(r"\(?\b(?:d\s*/\s*b\s*/\s*a|dba|f\s*/\s*k\s*/\s*a|fka|a\s*/\s*k\s*/\s*a|aka|t\s*/\s*a|trading as|doing business as|formerly known as|formerly|previously|also known as|anciennement)\b")
 _SITE = re.compile(r"(?:https?://|www\.)|\.(?:example|com|net|org|biz|info|io|us|fr|in|co\.in|org\.in|net\.in)\b")
@@ -169,6 +171,8 @@ class Vocabulary:
             if not _CLUSTER.search(w) or len(w) > 5:
                 self._by_length.setdefault((w[0], len(w)), []).append(w)
                 self._by_code[code(w)] = w
+        #: short forms that stand for several common words; each is compared with them as it is
+        self._unclear: set[str] = set()
         self._long = sorted((w for w in self.words if len(w) >= 4), key=lambda w: (-len(w), w))
         self._known: dict[tuple[str, bool], tuple[str, ...]] = {}
 
@@ -176,7 +180,7 @@ class Vocabulary:
         if len(word) < 5:
             return ""
         near = [v for k in (-1, 0, 1) for v in self._by_length.get((word[0], len(word) + k), ()) if len(v) >= 5 and alike(v, word)]
-        return max(near, key=lambda v: (self.counts[v], v), default="")
+        return max(near, key=lambda v: (self.counts[v], v), default="") or next((given(g) for g in _LONG_GIVEN if alike(g, word)), "")
 
     def _spelled_out(self, word: str) -> str:
         """The common word that a short form stands for: its beginning, or its letters with a cluster of consonants at the end."""
@@ -184,28 +188,42 @@ class Vocabulary:
             return ""
         clipped = _CLUSTER.search(word) and not word.endswith(("nd", "wy", "ry"))
         full = [v for (first, n), vs in self._by_length.items() if first == word[0] and n > len(word) for v in vs if (clipped and shortens(word, v)) or (len(word) >= 4 and len(v) >= len(word) + 3 and v.startswith(word))]
-        return max(full, key=lambda v: (self.counts[v], v), default="")
+        if len(full) > 1:
+            self._unclear.add(word)
+            return word
+        return full[0] if full else ""
 
     def _sounds_like(self, word: str) -> str:
         v = self._by_code.get(code(word), "")
         length = len(code(word))
-        return v if length >= 3 and jaro_winkler(v, word) >= (0.65 if length >= 4 else 0.8) else ""
+        return v if length >= 6 or (length >= 3 and jaro_winkler(v, word) >= (0.65 if length >= 4 else 0.8)) else ""
 
     def _split(self, word: str) -> tuple[str, ...]:
         """A word run together with common ones: those are parted from its ends, and a long one at an "and" inside."""
         if len(word) >= 12 and (m := re.fullmatch(r"(.{4,})and(.{4,})", word)):
             return (*self._split(m.group(1)), *self._split(m.group(2)))
+        if len(word) >= 8 and word.endswith("and"):
+            return self._split(word[:-3])
+        for small in ("and", "et", "de"):
+            if word.startswith(small) and (word[len(small) :] in self.words or small == "and" and len(word) >= 7):
+                return self._split(word[len(small) :])
+        for v in (*_LONG_DROP, *_KEEP, "law"):
+            if word.endswith(v) and len(word) - len(v) >= 5:
+                return (*self._split(word[: -len(v)]), *((v,) if v not in _LONG_DROP else ()))
         for v in self._long:
             if len(word) > len(v) and len(v) >= 4:
                 if word.endswith(v) and len(word) - len(v) >= 4:
                     return (*self._split(word[: -len(v)]), v)
                 if word.startswith(v) and len(word) - len(v) >= 4 and len(v) >= 5:
                     return (v, *self._split(word[len(v) :]))
+        for g in _SPOKEN:
+            if word.startswith(g) and len(word) - len(g) >= 5:
+                return (given(g), *self._split(word[len(g) :]))
         return (word,)
 
     def read(self, word: str, indic: bool) -> tuple[str, ...]:
         if word in self.words or word in GIVEN or len(word) == 1:
-            full = "" if word in GIVEN or len(word) > 6 else self._spelled_out(word)
+            full = "" if word in GIVEN or len(word) > 6 or len(word) < 3 else self._spelled_out(word)
             return (full or given(word),)
         if (known := self._known.get((word, indic))) is None:
             if len(self._known) > 200_000:
@@ -220,7 +238,7 @@ class Vocabulary:
         common: list[str] = []
         for word in words:
             for w in self.read(word, indic):
-                to = common if w in self.words or w in GIVEN or len(w) == 1 else rare
+                to = common if w in self.words or w in GIVEN or len(w) == 1 or w in self._unclear else rare
                 if w not in to:
                     to.append(w)
         return rare, common
