@@ -61,11 +61,31 @@ def distance(a: str, b: str, most: int = 2) -> int:
     return min(row[-1], most + 1)
 
 
+def _one_edit(a: str, b: str) -> bool:
+    """At most one insertion, deletion, replacement or swap of neighbours: what lies between the common ends tells."""
+    if abs(len(a) - len(b)) > 1:
+        return False
+    least = min(len(a), len(b))
+    i = 0
+    while i < least and a[i] == b[i]:
+        i += 1
+    j = 0
+    while j < least - i and a[-1 - j] == b[-1 - j]:
+        j += 1
+    x, y = a[i : len(a) - j], b[i : len(b) - j]
+    return (len(x) <= 1 and len(y) <= 1) or (len(x) == 2 and len(y) == 2 and x == y[::-1])
+
+
 def alike(a: str, b: str) -> bool:
     """The same word up to typing errors: one in words of four letters or more, two in words of eight or more; "rn" passes for "m"."""
     if "rn" in a or "rn" in b:
         a, b = a.replace("rn", "m"), b.replace("rn", "m")
-    return a == b or (min(len(a), len(b)) >= 4 and distance(a, b, 2) <= (2 if min(len(a), len(b)) >= 8 else 1))
+    if a == b:
+        return True
+    shorter = min(len(a), len(b))
+    if shorter < 4 or abs(len(a) - len(b)) > 2:
+        return False
+    return _one_edit(a, b) if shorter < 8 else distance(a, b, 2) <= 2
 
 
 def matched_words(a: list[str], b: list[str]) -> int:

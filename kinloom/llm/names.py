@@ -24,8 +24,14 @@ GIVEN: dict[str, frozenset[str]] = {}
 for _name, _shorts in NICKNAMES.items():
     for _short in [_name, *_shorts.split()]:
         GIVEN[_short] = GIVEN.get(_short, frozenset()) | {_name}
-_LONG_GIVEN = tuple(sorted(g for g in GIVEN if len(g) >= 6))
-_SPOKEN = tuple(sorted((g for g in GIVEN if len(g) >= 3), key=lambda g: (-len(g), g)))
+_LONG_GIVEN: dict[str, list[str]] = {}
+for _name in sorted(GIVEN):
+    if len(_name) >= 6:
+        _LONG_GIVEN.setdefault(_name[0], []).append(_name)
+_SPOKEN: dict[str, list[str]] = {}
+for _name in sorted(GIVEN, key=lambda g: (-len(g), g)):
+    if len(_name) >= 3:
+        _SPOKEN.setdefault(_name[:3], []).append(_name)
 #: Usual short forms of words in business names.
 SHORT_WORDS = {
     "acad": "academy", "adv": "advisors", "agri": "agricole", "assn": "associates", "assoc": "associates", "bat": "batiment", "bldg": "building", "bros": "brothers",
@@ -50,6 +56,11 @@ _WORD = re.compile(r"[a-z0-9]+")
 _DOTTED = re.compile(r"(?<![a-z])(?:[a-z]\.\s?){2,}(?:[a-z]\b)?")
 
 
+@functools.lru_cache(maxsize=131072)
+def _says_nothing(word: str) -> bool:
+    return word.isdigit() or word in _DROP or (len(word) >= 5 and any(alike(word, w) for w in _LONG_DROP))
+
+
 @functools.lru_cache(maxsize=8192)
 def name_words(name: str) -> tuple[tuple[str, ...], bool]:
     """Words of a name's own part in order (legal forms and small words dropped, short forms spelled out), and whether it holds
@@ -69,7 +80,7 @@ def name_words(name: str) -> tuple[tuple[str, ...], bool]:
     for word in _WORD.findall(text.replace("'", "")):
         word = unscan(word)
         word = SHORT_WORDS.get(word, word)
-        if word.isdigit() or word in _DROP or (len(word) >= 5 and any(alike(word, w) for w in _LONG_DROP)):
+        if _says_nothing(word):
             continue
         if len(word) == 1 or word not in words:
             words.append(word)
@@ -91,6 +102,20 @@ def code(word: str) -> str:
     return re.sub(r"(.)\1+", r"\1", (head + rest).translate(_CODE))
 
 
+_FINE = str.maketrans({"c": "k", "q": "k", "z": "s", "w": "v"})
+
+
+@functools.lru_cache(maxsize=131072)
+def fine_code(word: str) -> str:
+    """Phonetic code that keeps voiced, voiceless, lip and nasal sounds apart: for rare words, of which there are many."""
+    text = word
+    for pattern, sound in _SOUNDS:
+        text = pattern.sub(sound, text)
+    rest = re.sub("[aeiouyh]", "", text[1:]) if text else ""
+    head = "a" if text[:1] in "aeiouy" else text[:1]
+    return re.sub(r"(.)\1+", r"\1", (head + rest).translate(_FINE))
+
+
 def skeleton(word: str) -> str:
     """Consonants in order without classes: finer than ``code``."""
     return re.sub(r"(.)\1+", r"\1", word[:1] + re.sub("[aeiouyh]", "", word[1:]))
@@ -173,14 +198,20 @@ class Vocabulary:
                 self._by_code[code(w)] = w
         #: short forms that stand for several common words; each is compared with them as it is
         self._unclear: set[str] = set()
-        self._long = sorted((w for w in self.words if len(w) >= 4), key=lambda w: (-len(w), w))
+        self._ends: dict[str, list[str]] = {}
+        self._starts: dict[str, list[str]] = {}
+        for w in sorted(self.words, key=lambda w: (-len(w), w)):
+            if len(w) >= 4:
+                self._ends.setdefault(w[-4:], []).append(w)
+            if len(w) >= 5:
+                self._starts.setdefault(w[:5], []).append(w)
         self._known: dict[tuple[str, bool], tuple[str, ...]] = {}
 
     def _near(self, word: str) -> str:
         if len(word) < 5:
             return ""
         near = [v for k in (-1, 0, 1) for v in self._by_length.get((word[0], len(word) + k), ()) if len(v) >= 5 and alike(v, word)]
-        return max(near, key=lambda v: (self.counts[v], v), default="") or next((given(g) for g in _LONG_GIVEN if alike(g, word)), "")
+        return max(near, key=lambda v: (self.counts[v], v), default="") or next((given(g) for g in _LONG_GIVEN.get(word[0], ()) if abs(len(g) - len(word)) <= 1 and alike(g, word)), "")
 
     def _spelled_out(self, word: str) -> str:
         """The common word that a short form stands for: its beginning, or its letters with a cluster of consonants at the end."""
@@ -210,13 +241,13 @@ class Vocabulary:
         for v in (*_LONG_DROP, *_KEEP, "law"):
             if word.endswith(v) and len(word) - len(v) >= 5:
                 return (*self._split(word[: -len(v)]), *((v,) if v not in _LONG_DROP else ()))
-        for v in self._long:
-            if len(word) > len(v) and len(v) >= 4:
-                if word.endswith(v) and len(word) - len(v) >= 4:
-                    return (*self._split(word[: -len(v)]), v)
-                if word.startswith(v) and len(word) - len(v) >= 4 and len(v) >= 5:
-                    return (v, *self._split(word[len(v) :]))
-        for g in _SPOKEN:
+        for v in self._ends.get(word[-4:], ()):
+            if word.endswith(v) and len(word) - len(v) >= 4:
+                return (*self._split(word[: -len(v)]), v)
+        for v in self._starts.get(word[:5], ()):
+            if word.startswith(v) and len(word) - len(v) >= 4:
+                return (v, *self._split(word[len(v) :]))
+        for g in _SPOKEN.get(word[:3], ()):
             if word.startswith(g) and len(word) - len(g) >= 5:
                 return (given(g), *self._split(word[len(g) :]))
         return (word,)
