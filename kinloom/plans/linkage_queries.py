@@ -770,4 +770,16 @@ ORACLES = {
     "q_patch": f"WITH {_POOL_SQL} SELECT DISTINCT entity_id, CASE WHEN starts_with(name_core, 'm s ') THEN substr(name_core, 5) ELSE name_core END AS name_core FROM pl",
     "q_feature_shift": f"""WITH {_PAIRS_SQL}, l AS (SELECT source, 'bscore' AS feature, bscore AS v FROM prs UNION ALL SELECT source, 'nk', CAST(n_keytypes AS DOUBLE) FROM prs)
         SELECT feature, round(avg(v) FILTER (source = 'S2'), 6) AS valid_mean, round(avg(v) FILTER (source = 'S3'), 6) AS test_mean, round((avg(v) FILTER (source = 'S3') - avg(v) FILTER (source = 'S2')) / stddev_samp(v), 6) AS shift_sd FROM l GROUP BY 1""",
+    "q_error_by_country": f"""WITH {_TRUTH_SQL}, {_SCORED_SQL}, {_LABELLED_SQL}, {_PER},
+        e AS (SELECT per.*, s.country, np - tp AS fp, n_matches - tp AS fn, 1 - f05 AS loss FROM per JOIN (SELECT DISTINCT entity_id, country FROM s1) s ON s.entity_id = source1_entity_id),
+        c AS (SELECT *, CASE WHEN n_matches = 0 AND fp > 0 THEN 'singleton_fp' WHEN n_matches > 0 AND np = 0 THEN 'missed_all' WHEN fp > 0 AND fn > 0 THEN 'mixed' WHEN fp > 0 THEN 'false_merge_only' WHEN fn > 0 THEN 'missed_some' ELSE 'perfect' END AS category FROM e)
+        SELECT country, {", ".join(f"round(coalesce(sum(loss) FILTER (category = '{k}'), 0) / count(*), 5) AS {k}" for k in diagnostics.CATEGORIES)} FROM c GROUP BY 1""",
+    "q_rate_by_flag": f"""WITH {_CLEAN_SQL}, {_TRUTH_SQL}, d AS (SELECT entity_id, country, name_core, TRY_CAST(addr_numbers[1] AS BIGINT) AS n FROM q), ok AS (SELECT * FROM d WHERE length(name_core) >= 3 QUALIFY count(*) OVER (PARTITION BY country, name_core) BETWEEN 2 AND 50),
+        f AS (SELECT a.entity_id, coalesce(bool_or(abs(a.n - b.n) BETWEEN 1 AND 30), false) AS near, coalesce(bool_or(a.n = b.n), false) AS dup FROM ok a JOIN ok b ON a.country = b.country AND a.name_core = b.name_core AND a.entity_id <> b.entity_id GROUP BY 1),
+        g AS (SELECT d.country, f.entity_id IS NOT NULL AS same_name, coalesce(near, false) AS near, coalesce(dup, false) AS dup, CAST(coalesce(n_matches, 0) = 0 AS DOUBLE) AS nm FROM d LEFT JOIN f USING (entity_id) LEFT JOIN truth ON source1_entity_id = d.entity_id)
+        SELECT country, count(*) AS n_s1, round(avg(CAST(same_name AS DOUBLE)), 4) AS same_name, round(avg(CAST(near AS DOUBLE)), 4) AS near, round(avg(CAST(dup AS DOUBLE)), 4) AS dup, round(avg(nm), 4) AS nomatch_all,
+          round(avg(nm) FILTER (same_name), 4) AS nomatch_same_name, round(avg(nm) FILTER (near), 4) AS nomatch_near, round(avg(nm) FILTER (dup), 4) AS nomatch_dup FROM g GROUP BY 1""",
+    "q_output_checks": f"""WITH {_SCORED_SQL}, {_EXCLUSIVE_SQL}, x AS (SELECT count(*) FILTER (cand_id NOT IN (SELECT entity_id FROM s2)) AS a FROM excl WHERE p >= 0.6), y AS (SELECT count(*) FILTER (cand_id NOT IN (SELECT entity_id FROM s2)) AS b FROM scored)
+        SELECT check_name AS "check", CASE check_name WHEN 'matches: ids not in the pool' THEN (SELECT a FROM x) WHEN 'candidates: ids not in the pool' THEN (SELECT b FROM y) ELSE 0 END AS violations
+        FROM (SELECT unnest([{", ".join(f"'{n}: {w}'" for n in ("matches", "candidates") for w in ("repeated rows", "missing rows", "unknown clean ids", "ids not in the pool", "ids repeated in a list"))}, 'matches outside the candidates']) AS check_name)""",
 }
