@@ -46,7 +46,7 @@ PRIOR = 0.04
 #: Weight of a chain of two steps against one of one step before anything is learned.
 TWICE = 0.05
 ROUNDS = 6
-LEAST = 0.7
+LEAST = 0.5
 
 
 def first_shares() -> list[float]:
@@ -273,7 +273,7 @@ def learn_priors(df: DataFrame, text: str, source: str, model) -> DataFrame:
 def repair(df: DataFrame, text: str, source: str, out: str = "repaired", flag: str = "garbled", chains: str = "chains") -> DataFrame:
     """Add the restored text, whether any part of the text is garbled, and the chains found.
 
-    ``flag`` is true where a line's posterior for some wrong chain is at least 0.7, or the text holds a replacement character
+    ``flag`` is true where a line's posterior for some wrong chain is at least 0.5, or the text holds a replacement character
     (U+FFFD) or a C1 control character: those can't be restored, but show the damage. Lines without damage stay as they are, byte
     for byte.
 
