@@ -78,11 +78,12 @@ def fold(id_col: str, k: int, seed: int = 5) -> Column:
 
 
 def cross_validated(data: DataFrame, features: tuple[str, ...], k: int = 3, label: str = "y", group: str = G, params: Boosting = Boosting()) -> DataFrame:
-    """Out-of-fold probabilities ``p``; all rows of one group are in one fold."""
+    """Out-of-fold probabilities ``p``; all rows of one group are in one fold. Where all groups fall in one fold, its model sees them all."""
     data = data.withColumn("fold", fold(group, k))
     out = None
     for i in range(k):
-        model = train_classifier(data.where(F.col("fold") != i), features, label, params=params)
+        rest = data.where(F.col("fold") != i)
+        model = train_classifier(data if rest.isEmpty() else rest, features, label, params=params)
         part = predict(model, data.where(F.col("fold") == i))
         out = part if out is None else out.unionByName(part)
     return out

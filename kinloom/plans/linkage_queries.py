@@ -14,7 +14,7 @@ from kinloom.config import CAPS, KEY_WEIGHTS, PRESETS, Blocking
 from kinloom.functions.similarity import similarity
 from kinloom.functions.text import add_views, fold
 from kinloom.functions.vocab import ADDRESS_SHORT, DESIGNATORS, IN_STATES, LEGAL_FORMS, NAME_STOPWORDS, STATE_CODES, US_STATES
-from kinloom.operators import aliases, blocking, decision, diagnostics, features, model, rules, siblings, stage2, validate
+from kinloom.operators import aliases, blocking, decision, diagnostics, features, model, rules, sampling, siblings, stage2, validate
 from kinloom.session import materialize
 from kinloom.sources.files import explode_ground_truth, parse_ground_truth
 from kinloom.sources.tables import table
@@ -492,6 +492,16 @@ def q_split_entities(spark, base):
     return model.split_entities(ids, 500, 200)
 
 
+def q_seeded_fraction(spark, base):
+    return sampling.seeded_fraction(clean(spark, base), "entity_id", 0.1).select("entity_id")
+
+
+def q_example_pairs(spark, base):
+    """A sample of true pairs with the raw fields of both records."""
+    pairs = explode_ground_truth(truth(spark, base)).withColumnRenamed("matched_id", "cand_id")
+    return sampling.example_pairs(pairs, clean(spark, base), pool(spark, base), 40)
+
+
 # ---------------------------------------------------------------- diagnostics
 def q_band_shares(spark, base):
     return diagnostics.band_shares(scored(spark, base)).select("country", *(F.col(f"`{b}`").alias(f"b{i}") for i, b in enumerate(diagnostics.RIGHT_LABELS)))

@@ -47,6 +47,32 @@ def test_end_to_end(spark, paths):
     assert decision.f05_macro(match, truth) > 0.7
 
 
+def test_tuning_second_stage_and_patch(spark, paths):
+    """Runs on what the test before left."""
+    home = f"{paths.work}/model"
+    scored, clean, pool = (spark.read.parquet(f"{home}/{n}") for n in ("valid_scored", "train_clean", "train_pool"))
+    truth = read_ground_truth(spark, paths.ground_truth).join(scored.select("source1_entity_id").distinct(), "source1_entity_id", "left_semi")
+    rows = pipeline.tune_post(scored, clean, pool, truth, 0.5)
+    assert len(rows) == 18 and rows[0]["f05"] >= rows[-1]["f05"] and {r["variant"]: r for r in rows}["none"]["removed_false"] == 0
+    grid = pipeline.eval_blend(scored, scored, clean, pool, truth, weights=(0.5,), posts=("none",), taus=(0.5,))
+    assert {g["joint"] for g in grid} == {True, False}
+    report = pipeline.stage2_fit(spark, paths, 2, model.Boosting(rounds=3, depth=3))
+    assert 0 <= report["f05"] <= 1
+    assert pipeline.stage2_predict(spark, paths).count() > 0
+    a, b, affected = pipeline.patched(spark, paths, ("shri", "sri"))
+    assert b.count() == pipeline.load(spark, paths, "test")[1].count() and affected.count() <= a.count()
+
+
+def test_command_line(spark, paths, capsys):
+    from kinloom import cli
+
+    args = cli._parser().parse_args(["validate", f"{paths.output}/matching_results.tsv", "--candidates", f"{paths.output}/candidate_pairs.tsv", "--check-ids"])
+    assert cli.run(spark, args, paths) == 0
+    assert '"errors": []' in capsys.readouterr().out
+    assert cli.run(spark, cli._parser().parse_args(["eda"]), paths) == 0
+    assert Path(f"{paths.output}/eda_report.md").read_text(encoding="utf-8").startswith("# Sources")
+
+
 def test_ragged_tsv(spark, tmp_path):
     f = tmp_path / "x.tsv"
     f.write_text('entity_id\tbusiness_name\tbusiness_address\tcountry\nS1-1\t"A" b\t\tUS\textra\nS1-2\tshort\n', encoding="utf-8")
