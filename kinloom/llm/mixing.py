@@ -111,7 +111,8 @@ def mix(
         epochs = math.floor(budget / r["tokens"] + 1e-9)
         plan.append((r["domain"], r["source"], r["lang"], epochs, max(0.0, budget - epochs * r["tokens"]), budget, max(1, math.ceil(r["docs"] / BUCKET_ROWS))))
     spark = docs.sparkSession
-    plan_df = F.broadcast(spark.createDataFrame(plan, "domain string, source string, lang string, epochs int, rest double, budget double, buckets int"))
+    plan_df = spark.createDataFrame(plan, "domain string, source string, lang string, epochs int, rest double, budget double, buckets int")
+    plan_df = F.broadcast(plan_df) if len(plan) <= 10_000 else plan_df
     leaf = ["domain", "source", "lang"]
     # the order of the last epoch: a seeded hash, cut into buckets of bounded size
     ordered = rows.join(plan_df, leaf).withColumn("h", F.pmod(F.xxhash64(F.lit(seed), "epochs", "source", "lang", "row"), F.lit(2**48)))
