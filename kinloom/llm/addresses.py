@@ -150,7 +150,7 @@ def address_forms(records: DataFrame, id_col: str, address: str, country: str) -
     """(stored address to form, distinct forms). A form is country, number, postal code, state and sorted telling words."""
     distinct = records.select(F.col(address).cast("string").alias("address"), F.col(country).cast("string").alias("country")).where("address is not null").distinct()
     parsed = distinct.withColumn("p", F.pandas_udf(_parse, _FORM)("address", "country")).select("address", "country", "p.*").where("number is not null")
-    parsed = materialize(parsed.withColumn("form", F.md5(F.concat_ws("|", F.coalesce("country", F.lit("")), "number", "postal", "state", F.array_join("words", " ")))), "forms")
+    parsed = materialize(parsed.withColumn("form", F.unhex(F.md5(F.concat_ws("|", F.coalesce("country", F.lit("")), "number", "postal", "state", F.array_join("words", " "))))), "forms")
     stored = parsed.select("address", "country", "form")
     forms = parsed.dropDuplicates(["form"]).select("form", "country", "number", "postal", "state", "words", "grams")
     return stored, forms
@@ -192,13 +192,14 @@ def candidate_forms(forms: DataFrame, cosine: float = COSINE) -> DataFrame:
                 out.append(dot / math.sqrt(sum(w[g] ** 2 for g in x) * sum(w[g] ** 2 for g in y)))
             yield pd.Series(out)
 
-    index = forms.select("form", F.coalesce("country", F.lit("")).alias("country"), "number", F.explode(prefix("grams")).alias("g"))
-    a = index.select(F.col("form").alias("a"), "country", "number", "g")
-    b = index.select(F.col("form").alias("b"), "country", "number", "g")
-    pairs = a.join(b, ["country", "number", "g"]).where("a < b").select("a", "b").distinct()
-    x = forms.select(F.col("form").alias("a"), F.struct("words", "postal", "state", "grams").alias("x"))
-    y = forms.select(F.col("form").alias("b"), F.struct("words", "postal", "state", "grams").alias("y"))
-    return pairs.join(x, "a").join(y, "b").withColumn("similarity", similarity(F.col("x.grams"), F.col("y.grams"))).where(F.col("similarity") >= cosine)
+    # an index entry is one number for country, house number and trigram; should two ever share it, the check below parts them
+    index = forms.select("form", F.coalesce("country", F.lit("")).alias("country"), "number", F.explode(prefix("grams")).alias("g")).select("form", F.xxhash64("country", "number", "g").alias("h"))
+    a, b = index.withColumnRenamed("form", "a"), index.withColumnRenamed("form", "b")
+    pairs = a.join(b, "h").where("a < b").select("a", "b").distinct()
+    x = forms.select(F.col("form").alias("a"), F.struct("country", "number", "words", "postal", "state", "grams").alias("x"))
+    y = forms.select(F.col("form").alias("b"), F.struct("country", "number", "words", "postal", "state", "grams").alias("y"))
+    joined = pairs.join(x, "a").join(y, "b").where(F.col("x.country").eqNullSafe(F.col("y.country")) & (F.col("x.number") == F.col("y.number")))
+    return joined.withColumn("similarity", similarity(F.col("x.grams"), F.col("y.grams"))).where(F.col("similarity") >= cosine)
 
 
 def locate(records: DataFrame, id_col: str, address: str, country: str, cosine: float = COSINE) -> DataFrame:
@@ -249,7 +250,7 @@ def locate(records: DataFrame, id_col: str, address: str, country: str, cosine:
     mutual = choice.where("not bare").join(back, "one").where("back = from and one < from").select("from", "one")
     target = choice.where("bare and not to_bare").select("from", "one").union(mutual).groupBy("from").agg(F.min("one").alias("one")).select(F.col("from").alias("location"), "one")
     placed = placed.join(target, "location", "left").select("form", F.coalesce("one", "location").alias("location"))
-    return stored.join(placed, "form").select("address", "country", "location")
+    return stored.join(placed, "form").select("address", "country", F.lower(F.hex("location")).alias("location"))
 
 
 def same_location_pairs(records: DataFrame, id_col: str, address: str, country: str, cosine: float = COSINE) -> DataFrame:
