@@ -63,11 +63,22 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     (which decide between broadcast and shuffle joins later on).
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/kinloom/{name}-{uuid.uuid4().hex}"
+    root = f"{shared_dir(spark)}/kinloom"
+    path = f"{root}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _delete_at_exit(spark, root)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete_at_exit(spark: SparkSession, root: str) -> None:
+    """Have the application remove its own intermediate tables when it ends."""
+    sc = spark.sparkContext
+    if getattr(sc, "_kinloom_root", None) != root:
+        p = sc._jvm.org.apache.hadoop.fs.Path(root)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(p)
+        sc._kinloom_root = root
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Mark ``df`` for broadcast only if it truly has at most ``max_rows`` rows; else leave the choice to the planner.
 
