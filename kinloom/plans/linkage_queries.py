@@ -660,6 +660,25 @@ _TUNE = """
     hits AS (SELECT p.rule, p.tau, p.min_p, p.alpha, p.source1_entity_id, count(*) AS np, sum(CAST(list_contains(t.matched, p.cand_id) AS INT)) AS tp FROM pick p JOIN truth t USING (source1_entity_id) GROUP BY ALL),
     pe AS (SELECT g.*, t.n_matches AS nt, coalesce(h.np, 0) AS np, coalesce(h.tp, 0) AS tp FROM grid g CROSS JOIN truth t LEFT JOIN hits h ON h.rule = g.rule AND h.tau IS NOT DISTINCT FROM g.tau AND h.min_p IS NOT DISTINCT FROM g.min_p AND h.alpha IS NOT DISTINCT FROM g.alpha AND h.source1_entity_id = t.source1_entity_id)"""
 
+
+
+def _variants_sql() -> str:
+    """All variants of the number rules: what fires, and for some the blanking of a whole record."""
+    parts = []
+    for name, v in rules.VARIANTS.items():
+        fire = [f"p < {v.p_max}"] + ["grp"] * v.group + [f"(delta BETWEEN 1 AND {v.near} AND p < {v.near_p})"] * bool(v.near) + ["(grp AND cluster >= 2)"] * v.sibling
+        ruled = f"SELECT *, CASE WHEN conflict AND ({' OR '.join(fire)}) THEN 0.0 ELSE p END AS p1 FROM fl" if name != "none" else "SELECT *, p AS p1 FROM fl"
+        if v.all_conflict:
+            near = f" AND coalesce(delta BETWEEN 1 AND {v.all_near}, false)" if v.all_near else ""
+            bad = f"NOT (p1 >= 0.5) OR (conflict AND p1 < {v.all_conflict}{near})"
+            ruled = f"SELECT *, CASE WHEN bool_or(p1 >= 0.5) OVER g AND bool_and({bad}) OVER g THEN 0.0 ELSE p1 END AS p2 FROM ({ruled}) WINDOW g AS (PARTITION BY source1_entity_id)"
+        column = "p2" if v.all_conflict else "p1"
+        parts.append(f"SELECT country, count(*) FILTER ({column} = 0) AS n_zero, round(sum({column}), 3) AS sum_p, '{name}' AS variant FROM (SELECT country, {column} FROM ({ruled}) UNION ALL SELECT country, p FROM flags1 WHERE p < 0.3) GROUP BY 1")
+    return f"""WITH {_NUMS_SQL}, fl AS (SELECT source1_entity_id, country, p, conflict, bool_or(p >= 0.5 AND num_match) OVER (PARTITION BY source1_entity_id) AS grp,
+        CASE WHEN n2[1] IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY source1_entity_id, n2[1]) END AS cluster, abs(TRY_CAST(n1[1] AS BIGINT) - TRY_CAST(n2[1] AS BIGINT)) AS delta FROM flags1 WHERE p >= 0.3)
+        {" UNION ALL ".join(parts)}"""
+
+
 ORACLES = {
     "q_accent_fold": f"SELECT entity_id, {_fold_sql('business_name')} AS name, {_fold_sql('business_address')} AS address FROM (SELECT DISTINCT entity_id, business_name, business_address, country FROM s1)",
     "q_name_views": f"""WITH {_NAME_SQL} SELECT entity_id, array_to_string(list_sort(toks), ' ') AS tokens, array_to_string(list_sort(core), ' ') AS core,
@@ -792,4 +811,5 @@ ORACLES = {
     "q_output_checks": f"""WITH {_SCORED_SQL}, {_EXCLUSIVE_SQL}, x AS (SELECT count(*) FILTER (cand_id NOT IN (SELECT entity_id FROM s2)) AS a FROM excl WHERE p >= 0.6), y AS (SELECT count(*) FILTER (cand_id NOT IN (SELECT entity_id FROM s2)) AS b FROM scored)
         SELECT check_name AS "check", CASE check_name WHEN 'matches: ids not in the pool' THEN (SELECT a FROM x) WHEN 'candidates: ids not in the pool' THEN (SELECT b FROM y) ELSE 0 END AS violations
         FROM (SELECT unnest([{", ".join(f"'{n}: {w}'" for n in ("matches", "candidates") for w in ("repeated rows", "missing rows", "unknown clean ids", "ids not in the pool", "ids repeated in a list"))}, 'matches outside the candidates']) AS check_name)""",
+    "q_post_variants": _variants_sql(),
 }
