@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from kinloom.llm.addresses import parse_address
 from kinloom.llm.matching import components
 from kinloom.llm.names import GIVEN, Vocabulary, code, fine_code, name_words, same_name
-from kinloom.operators.skew import heavy_keys
 from kinloom.session import materialize
 
 #: A word is common if at least this share of the records holds it; so there are at most (words per name) / SHARE of them.
@@ -124,7 +123,7 @@ def place_keys(parsed: tuple[str, str, str, list[str]]) -> list[str]:
 
 
 def places(records: DataFrame, name: str, address: str, country: str) -> DataFrame:
-    """Places of each stored name; addresses that hold over 0.2 % of the rows say nothing."""
+    """Places of each stored name, of every address however many rows hold it."""
 
     def place(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for addresses, countries in batches:
@@ -135,8 +134,7 @@ def places(records: DataFrame, name: str, address: str, country: str) -> DataFra
             yield pd.Series(out)
 
     rows = records.select(F.col(name).cast("string").alias("name"), F.col(address).cast("string").alias("address"), F.coalesce(F.col(country).cast("string"), F.lit("")).alias("country")).where("name is not null and address is not null")
-    hot = F.broadcast(heavy_keys(rows, "address", 0.002))
-    return rows.join(hot, "address", "left_anti").distinct().withColumn("place", F.explode(F.pandas_udf(place, "array<string>")("address", "country"))).select("name", "country", "place").distinct()
+    return rows.distinct().withColumn("place", F.explode(F.pandas_udf(place, "array<string>")("address", "country"))).select("name", "country", "place").distinct()
 
 
 def name_clusters(records: DataFrame, name: str, address: str, country: str) -> DataFrame:
