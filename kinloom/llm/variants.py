@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from kinloom.llm.addresses import parse_address
 from kinloom.llm.matching import components
 from kinloom.llm.names import GIVEN, Vocabulary, code, fine_code, name_words, same_name
-from kinloom.session import materialize
+from kinloom.session import bounded_broadcast, materialize
 
 #: A word is common if at least this share of the records holds it; so there are at most (words per name) / SHARE of them.
 SHARE = 0.0015
+#: An address, as written, of so many clusters of names is no cluster's own.
+MANY = 10
 
 
 def word_counts(records: DataFrame, name: str, share: float = SHARE) -> dict[str, int]:
@@ -123,7 +125,7 @@ def place_keys(parsed: tuple[str, str, str, list[str]]) -> list[str]:
 
 
 def places(records: DataFrame, name: str, address: str, country: str) -> DataFrame:
-    """Places of each stored name, of every address however many rows hold it."""
+    """Places of each stored name, of every address however many rows hold it: ``name, country, address`` (as one number) and ``place``."""
 
     def place(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for addresses, countries in batches:
@@ -134,7 +136,7 @@ def places(records: DataFrame, name: str, address: str, country: str) -> DataFra
             yield pd.Series(out)
 
     rows = records.select(F.col(name).cast("string").alias("name"), F.col(address).cast("string").alias("address"), F.coalesce(F.col(country).cast("string"), F.lit("")).alias("country")).where("name is not null and address is not null")
-    return rows.distinct().withColumn("place", F.explode(F.pandas_udf(place, "array<string>")("address", "country"))).select("name", "country", "place").distinct()
+    return rows.distinct().withColumn("place", F.explode(F.pandas_udf(place, "array<string>")("address", "country"))).select("name", "country", F.xxhash64("address").alias("address"), "place").distinct()
 
 
 def name_clusters(records: DataFrame, name: str, address: str, country: str) -> DataFrame:
@@ -142,7 +144,8 @@ def name_clusters(records: DataFrame, name: str, address: str, country: str) ->
 
     * Names whose words all have a partner are one cluster; names that differ in a word on either side are kept apart.
     * A name that lacks words of a longer one joins its cluster if both occur at a common place (an exact check by house number
-      and two parts of the address) and no other longer cluster does, or if there is only one longer cluster and the shorter name is rare.
+      and two parts of the address) and no other longer cluster does, or if there is only one longer cluster and that has no place of
+      its own, which would speak for another business: none at all, or only at addresses of ``MANY`` or more clusters.
     * Null names, and names without two common words or a rare one, are in no cluster. Texts are read whole.
     * An empty table gives an empty result; other columns are ignored; repeated rows change nothing.
     """
@@ -160,17 +163,17 @@ def name_clusters(records: DataFrame, name: str, address: str, country: str) ->
         .distinct()
     )
     weak = materialize(weak, "weak-names")
-    at = places(records, name, address, country).join(of, ["name", "country"]).select("c", "country", "place").distinct()
+    placed_at = materialize(places(records, name, address, country).join(of, ["name", "country"]).select("c", "country", "address", "place").distinct(), "name-places")
+    at = placed_at.select("c", "country", "place").distinct()
     shared = (
         weak.join(at.select(F.col("c").alias("s"), "country", "place"), "s").join(at.select(F.col("c").alias("l"), "country", "place"), ["l", "country", "place"]).select("s", "l").distinct()
     )
     # a short name that fits several longer ones at its place stays alone
     shared = shared.groupBy("s").agg(F.count("*").alias("k"), F.min("l").alias("l")).where("k = 1").select("s", "l")
-    size = records.select(F.col(name).cast("string").alias("name"), F.coalesce(F.col(country).cast("string"), F.lit("")).alias("country")).groupBy("name", "country").count().join(of, ["name", "country"]).groupBy("c").agg(F.sum("count").alias("n"))
-    alone = (
-        weak.groupBy("s").agg(F.count("*").alias("k"), F.min("l").alias("l")).where("k = 1")
-        .join(size.where("n <= 1").select(F.col("c").alias("s")), "s", "left_semi").select("s", "l")
-    )
+    users = placed_at.select("c", "country", "address").distinct()
+    busy = users.groupBy("country", "address").count().where(F.col("count") >= MANY).select("country", "address")
+    owners = users.join(bounded_broadcast(busy, 100_000), ["country", "address"], "left_anti").select(F.col("c").alias("l")).distinct()
+    alone = weak.groupBy("s").agg(F.count("*").alias("k"), F.min("l").alias("l")).where("k = 1").join(owners, "l", "left_anti").select("s", "l")
     links = materialize(shared.union(alone).distinct(), "name-links")
     joined = components(links, "s", "l").select(F.col("node").alias("c"), F.col("component").alias("cluster"))
     return of.join(joined, "c", "left").select("name", "country", F.lower(F.hex(F.coalesce("cluster", "c"))).alias("cluster"))

@@ -16,3 +16,12 @@ def clusters(spark, records):
 def test_a_hot_address_is_evidence(spark):
     got = clusters(spark, [("Vordutek Optics", HOT), ("Vordutek Optics International", HOT), ("Vordutek Optics Trading", OTHER)])
     assert got["Vordutek Optics"] == got["Vordutek Optics International"] != got["Vordutek Optics Trading"]
+
+
+def test_the_only_choice_whatever_the_copies(spark):
+    # one address has many names, so it is no name's own
+    busy = [(n, HOT) for n in ("Alpnok", "Brivex", "Cludor", "Drofim", "Eskupa", "Fimgot", "Glevas", "Hubrik", "Ixtol", "Jorpam")]
+    got = clusters(spark, [*busy, ("Vordutek Optics", OTHER), ("Vordutek Optics Inc", OTHER), ("Vordutek Optics International", HOT), ("Dolnonas Bakery", OTHER), ("Dolnonas Bakery Trading", "9 Kelmar Lane, Ondville, TX 10900")])
+    assert got["Vordutek Optics"] == got["Vordutek Optics Inc"] == got["Vordutek Optics International"]
+    # a place of its own speaks for another business
+    assert got["Dolnonas Bakery"] != got["Dolnonas Bakery Trading"]
