@@ -13,20 +13,27 @@ from pyspark.sql import functions as F
 
 
 def heavy_keys(df: DataFrame, key: str, share: float) -> DataFrame:
-    """Every non-null value of ``key`` that holds at least ``share`` of the rows, as a table of one column ``key``.
+    """Exactly the non-null values of ``key`` that hold at least ``share`` of all rows: one column ``key``, at most ``1 / share`` rows.
 
     A frequent-items sketch with ``16 / share`` counters has an error below ``share / 4`` of the rows, so every true
-    heavy key is among the ``1 / (0.75 * share)`` largest estimates: none is missed, and some slightly lighter
-    keys may come along. The result has at most ``ceil(4 / (3 * share)) + 1`` rows whatever the size of the input,
-    so it may be broadcast. An empty table gives no rows.
+    heavy key is among its ``1 / (0.75 * share)`` largest estimates. Those few candidates are counted exactly in a second,
+    map-side combined pass, and only the true ones are kept. Rows with a null key count among the rows. An empty table gives no rows.
     """
     if not 0 < share <= 1:
         raise ValueError("share must be in (0, 1]")
+    keys = df.select(F.col(key).alias("k"))
     at_most = math.ceil(4 / (3 * share)) + 1
-    top = df.select(F.col(key).alias("k")).where("k is not null").agg(
-        F.expr(f"approx_top_k(k, {at_most}, {max(64, at_most, math.ceil(16 / share))})").alias("top")
-    )
-    return top.select(F.explode("top").alias("t")).select(F.col("t.item").alias(key))
+    top = keys.where("k is not null").agg(F.expr(f"approx_top_k(k, {at_most}, {max(64, at_most, math.ceil(16 / share))})").alias("top"))
+    likely = [r["k"] for r in top.select(F.explode("top").alias("t")).select(F.col("t.item").alias("k")).collect()]
+    if not likely:
+        return keys.select(F.col("k").alias(key)).limit(0)
+    # one pass: keys that are not likely share one group, so at most len(likely) + 1 partial rows leave a task
+    spark = df.sparkSession
+    candidates = F.broadcast(spark.createDataFrame([(k,) for k in likely], keys.schema).withColumnRenamed("k", "c"))
+    counted = keys.join(candidates, F.col("k") == F.col("c"), "left").groupBy("c").count().collect()
+    least = share * sum(r["count"] for r in counted)
+    heavy = [(r["c"],) for r in counted if r["c"] is not None and r["count"] >= least]
+    return spark.createDataFrame(heavy, keys.schema).withColumnRenamed("k", key)
 
 
 def balanced_group_stats(df: DataFrame, key: str, id_col: str, time_col: str, share: float = 0.01) -> DataFrame:
@@ -35,7 +42,7 @@ def balanced_group_stats(df: DataFrame, key: str, id_col: str, time_col: str, sh
     Result: ``key, n_rows, n_ids, first_at, last_at``; one row per distinct key.
 
     * Heavy keys (at least ``share`` of the rows) are matched by a broadcast join with a table of at most
-      ``4 / (3 * share) + 2`` rows and aggregated first by (key, id): a hot key is spread over as many tasks as its ids
+      ``1 / share + 1`` rows and aggregated first by (key, id): a hot key is spread over as many tasks as its ids
       give, and only one partial row per task and key reaches the second step.
     * All other keys take the ordinary shuffle by key.
     * A null key is a group of its own and always takes the heavy path. Null ids do not count as an id, null

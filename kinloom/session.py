@@ -57,26 +57,43 @@ def _clean_up() -> None:
 
 
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
+    """Write ``df`` as Parquet in this application's part of the shared folder and read it back.
 
     Cuts the lineage, survives the loss of executors, keeps columns prunable and gives the planner true sizes
-    (which decide between broadcast and shuffle joins later on).
+    (which decide between broadcast and shuffle joins later on). ``release`` removes it before the application's end.
     """
     spark = df.sparkSession
-    root = f"{shared_dir(spark)}/kinloom"
+    root = application_dir(spark)
     path = f"{root}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _delete_at_exit(spark, root)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._kinloom_path = path
+    return out
 
 
-def _delete_at_exit(spark: SparkSession, root: str) -> None:
-    """Have the application remove its own intermediate tables when it ends."""
+def application_dir(spark: SparkSession) -> str:
+    """The folder of this application's own intermediate tables, removed when it ends; no other application writes or removes there."""
     sc = spark.sparkContext
+    root = f"{shared_dir(spark)}/kinloom-{sc.applicationId}"
     if getattr(sc, "_kinloom_root", None) != root:
-        p = sc._jvm.org.apache.hadoop.fs.Path(root)
-        p.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(p)
+        _hadoop_path(spark, root)[0].deleteOnExit(_hadoop_path(spark, root)[1])
         sc._kinloom_root = root
+    return root
+
+
+def _hadoop_path(spark: SparkSession, path: str) -> tuple:
+    """(file system, path) of Hadoop for a path on any file system."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove materialized tables that nothing will read again."""
+    for df in tables:
+        if path := getattr(df, "_kinloom_path", None):
+            fs, p = _hadoop_path(df.sparkSession, path)
+            fs.delete(p, True)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:

@@ -30,11 +30,22 @@ def test_against_python(spark):
 def test_no_heavy_key_is_missed(spark):
     df = spark.createDataFrame([(r[0],) for r in _rows()], "addr string").repartition(7)
     found = {r[0] for r in heavy_keys(df, "addr", 0.05).collect()}
-    assert {"hot", "warm"} <= found and len(found) <= 28
+    assert found == {"hot", "warm"}
     with pytest.raises(ValueError):
         heavy_keys(df, "addr", 0)
 
 
+def test_heavy_keys_are_exactly_those(spark):
+    uniform = spark.range(100_000).selectExpr("concat('k', id % 5000) as addr")
+    assert heavy_keys(uniform, "addr", 0.002).count() == 0
+    skewed = uniform.where("addr < 'k4'").unionAll(spark.range(400).selectExpr("concat('h', id % 2) as addr")).unionAll(spark.range(90).selectExpr("'near' as addr"))
+    n = skewed.count()
+    assert {r[0] for r in heavy_keys(skewed.repartition(9), "addr", 200 / n).collect()} == {"h0", "h1"}
+    assert {r[0] for r in heavy_keys(skewed.repartition(2), "addr", 90 / n).collect()} == {"h0", "h1", "near"}
+    nulls = spark.createDataFrame([(None,), (None,), ("a",)], "addr string")
+    assert [r[0] for r in heavy_keys(nulls, "addr", 0.3).collect()] == ["a"] and heavy_keys(nulls, "addr", 0.4).count() == 0
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "addr string, id string, at timestamp")
     assert balanced_group_stats(df, "addr", "id", "at").columns == ["addr", "n_rows", "n_ids", "first_at", "last_at"]
