@@ -36,18 +36,35 @@ for _name in sorted(GIVEN, key=lambda g: (-len(g), g)):
 SHORT_WORDS = {
     "acad": "academy", "adv": "advisors", "agri": "agricole", "assn": "associates", "assoc": "associates", "bat": "batiment", "bldg": "building", "bros": "brothers",
     "chem": "chemicals", "cie": "compagnie", "constr": "construction", "corpn": "corporation", "ctr": "center", "dent": "dental", "dev": "development", "devel": "development",
-    "dist": "distributors", "distr": "distributors", "elec": "electrical", "elem": "elementary", "end": "and", "eng": "engineering", "engg": "engineering",
+    "dist": "distributors", "distr": "distributors", "elec": "electrical", "elem": "elementary", "eng": "engineering", "engg": "engineering",
     "engrg": "engineering", "ent": "enterprises", "equip": "equipment", "est": "estate", "ets": "etablissements", "fam": "family", "fin": "financial", "fmly": "family", "furn": "furniture", "gen": "general",
     "gp": "group", "grp": "group", "hosp": "hospital", "ind": "industries", "inds": "industries", "ins": "insurance", "intl": "international", "inv": "investment", "lab": "laboratories", "labs": "laboratories",
-    "med": "medical", "mfg": "manufacturing", "mgmt": "management", "mgmnt": "management", "mgt": "management", "natl": "national", "nyu": "new", "org": "organisation",
+    "med": "medical", "mfg": "manufacturing", "mgmt": "management", "mgmnt": "management", "mgt": "management", "natl": "national", "org": "organisation",
     "phcy": "pharmacy", "pkg": "packaging", "ppty": "property", "prop": "property", "rep": "repair", "ste": "societe", "soc": "societe", "serv": "services", "svc": "services", "svcs": "services",
     "tech": "technologies", "trans": "transport", "trd": "trading", "utd": "united", "univ": "universal", "vet": "veterinary",
 }
-#: Words that are put in the place of a word of any kind say nothing: "Unit 2", "Holdings", "Partners", "Group", "Center".
+#: What English words of names become when Indian scripts write them by sound.
+INDIC_WORDS = {"aind": "and", "end": "and", "nyu": "new"}
+#: What is put to given names in address.
+HONORIFICS = ("bhai", "ben", "ji")
+#: Usual words of what a business is or does. They are common words wherever they occur, however small the table.
+USUAL_WORDS = frozenset(
+    """academy accounting advertising advisors advocates agency agence agricole agro architecte architects associates atelier auto automotive avocat bakery bank
+    batiment beauty best books boulangerie boutique brothers builders building business cabinet cafe care catering center chemicals chiropractic church cleaning
+    clinic club coaching coffee coiffure college commercial community compagnie computers conseil construction constructions consultants consulting contractors
+    creations dairy dental design development digital distributors ecole education electrical electricals electricite electronics elementary energy engineering
+    enterprises entertainment equipment estate etablissements events exports family farms fashion fils finance financial fitness foods foundation fromagerie
+    furniture garage garden general generale gestion global group hardware health healthcare heating holdings home hospital hotel imports industries insurance
+    international investment investments jewellers kitchen laboratories landscaping law library librairie logistics machinery maintenance management manufacturing
+    market marketing media medical menuiserie metals mills modern motors music national new notaire office optics packaging painting partners patisserie
+    pharmaceuticals pharmacie pharmacy photography plastics plumbing power printing products projects property realty rental repair restaurant retail royal salon
+    school security services societe software solutions sons sports steel stores studio super supply sweets systems technologies textiles tours traders trading
+    traiteur transport travel united universal university ventures veterinary vision water works""".split()
+)
 #: Designations that tell businesses of one person apart are kept as words.
 _KEEP = {"cpa", "dds", "dpm", "esq", "md"}
-_DROP = (set(LEGAL_FORMS) - _KEEP - {"pra", "li"}) | set(NAME_STOPWORDS) | {"liability", "incorp", "limite", "anonyme", "lte", "pvtltd", "ms"} | {"unit", "holdings", "partners", "group", "center", "centre"}
-_LONG_DROP = ("company", "corporation", "group", "holdings", "incorporated", "limited", "partners", "private", "liability")
+_DROP = (set(LEGAL_FORMS) - _KEEP - {"pra", "li"}) | set(NAME_STOPWORDS) | {"liability", "incorp", "limite", "anonyme", "lte", "pvtltd", "ms"}
+_LONG_DROP = ("company", "corporation", "incorporated", "limited", "private", "liability")
 _SECOND = re.compile(r"\(?\b(?:d\s*/\s*b\s*/\s*a|dba|f\s*/\s*k\s*/\s*a|fka|a\s*/\s*k\s*/\s*a|aka|t\s*/\s*a|trading as|doing business as|formerly known as|formerly|previously|also known as|anciennement)\b")
 _SITE = re.compile(r"(?:https?://|www\.)|\.(?:example|com|net|org|biz|info|io|us|fr|in|co\.in|org\.in|net\.in)\b")
 _IDS = re.compile(r"#\s*\d+")
@@ -77,14 +94,17 @@ def name_words(name: str) -> tuple[tuple[str, ...], bool]:
     text = _SITE.sub(" ", text)
     text = _DOTTED.sub(lambda m: m.group().replace(".", "").replace(" ", "") + " ", text)
     words: list[str] = []
+    indic = INDIC.search(name) is not None
     for word in _WORD.findall(text.replace("'", "")):
         word = unscan(word)
         word = SHORT_WORDS.get(word, word)
+        if indic:
+            word = INDIC_WORDS.get(word, word)
         if _says_nothing(word):
             continue
         if len(word) == 1 or word not in words:
             words.append(word)
-    return tuple(words), INDIC.search(name) is not None
+    return tuple(words), indic
 
 
 _CODE = str.maketrans({"c": "k", "q": "k", "g": "k", "z": "s", "v": "b", "w": "b", "f": "b", "p": "b", "d": "t", "j": "s", "m": "n"})
@@ -247,6 +267,9 @@ class Vocabulary:
         for v in self._starts.get(word[:5], ()):
             if word.startswith(v) and len(word) - len(v) >= 4:
                 return (v, *self._split(word[len(v) :]))
+        for end in HONORIFICS:
+            if word.endswith(end) and word[: -len(end)] in GIVEN:
+                return (given(word[: -len(end)]),)
         for g in _SPOKEN.get(word[:3], ()):
             if word.startswith(g) and len(word) - len(g) >= 5:
                 return (given(g), *self._split(word[len(g) :]))
@@ -276,30 +299,54 @@ class Vocabulary:
 
 
 def same_name(a_rare: list[str], a_common: list[str], b_rare: list[str], b_common: list[str]) -> int:
-    """2: the same name; 1: the same but for words that one side lacks; 0: different names."""
+    """2: the same name; 1: the same but for common words that one side lacks; -1: the same rare words, but either side has a common word
+    that the other lacks, or equal rare words, but one side lacks another; 0: different names."""
+    left_ra: list[str] = []
+    left_rb: list[str] = []
     if not a_rare or not b_rare:
         if a_rare or b_rare or len(a_common) < 2 or len(b_common) < 2:
             return 0
-    elif len(a_rare) != len(b_rare):
-        x, y = "".join(a_rare), "".join(b_rare)
-        z, one = ("".join(reversed(b_rare)), x) if len(a_rare) < len(b_rare) else ("".join(reversed(a_rare)), y)
-        if not (distance(x, y, 2) <= 2 or distance(one, z, 2) <= 2):
-            return 0
-    elif any(_leftover(a_rare, b_rare, False)) and not (len(a_rare) > 1 and distance("".join(a_rare), "".join(b_rare), 2) <= 2):
-        return 0
+    else:
+        left_ra, left_rb = _leftover(a_rare, b_rare, False)
+        if (left_ra or left_rb) and _run_together(a_rare, b_rare):
+            left_ra, left_rb = [], []
     left_a, left_b = _leftover(a_common, b_common, True)
     left_a, left_b = [w for w in left_a if len(w) > 1], [w for w in left_b if len(w) > 1]
+    matched_common = len(left_a) < len(a_common)
+    if left_ra or left_rb:
+        # a rare word may be an unusual spelling of a common one
+        matched_rare = len(a_rare) - len(left_ra)
+        left_ra, left_b = _leftover(left_ra, left_b, True)
+        left_rb, left_a = _leftover(left_rb, left_a, True)
+        if left_ra or left_rb:
+            return -1 if len(left_ra) + len(left_rb) == 1 and set(a_rare) & set(b_rare) and not (left_a and left_b) else 0
+        if not matched_rare:
+            return 0
     if left_a and left_b:
-        return 0
+        return -1 if a_rare and (matched_common or sorted(a_rare) == sorted(b_rare)) else 0
     return 1 if left_a or left_b else 2
 
 
+def _run_together(a: list[str], b: list[str]) -> bool:
+    """Whether the words are the same but for up to two edits when they are written as one."""
+    x, y = "".join(a), "".join(b)
+    if len(a) == len(b):
+        return len(a) > 1 and distance(x, y, 2) <= 2
+    z, one = ("".join(reversed(b)), x) if len(a) < len(b) else ("".join(reversed(a)), y)
+    return distance(x, y, 2) <= 2 or distance(one, z, 2) <= 2
+
+
 def _leftover(a: list[str], b: list[str], vocabulary: bool) -> tuple[list[str], list[str]]:
-    """Words of either side without a partner on the other."""
+    """Words of either side without a partner on the other; equal words are partners first."""
     b = list(b)
-    left = []
+    rest, left = [], []
     for w in a:
-        hit = w if w in b else next((v for v in b if same_word(w, v, vocabulary)), None)
+        if w in b:
+            b.remove(w)
+        else:
+            rest.append(w)
+    for w in rest:
+        hit = next((v for v in b if same_word(w, v, vocabulary)), None)
         if hit is None:
             left.append(w)
         else:

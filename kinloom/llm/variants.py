@@ -7,6 +7,7 @@ nickname table, and accepted pairs are clustered by connected components.
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -15,13 +16,18 @@ from pyspark.sql import functions as F
 
 from kinloom.llm.addresses import parse_address
 from kinloom.llm.matching import components
-from kinloom.llm.names import GIVEN, Vocabulary, code, fine_code, name_words, same_name
+from kinloom.llm.names import GIVEN, USUAL_WORDS, Vocabulary, code, fine_code, name_words, same_name
 from kinloom.session import bounded_broadcast, materialize
 
 #: A word is common if at least this share of the records holds it; so there are at most (words per name) / SHARE of them.
 SHARE = 0.0015
+#: A word in fewer records than this is not common, unless it is one of the usual words: more than the copies of one business.
+LEAST = 20
 #: An address, as written, of so many clusters of names is no cluster's own.
 MANY = 10
+_DOUBLE = re.compile(r"(.)\1+")
+#: "and" inside words that are run together
+_LINK = re.compile(r"(?<=[a-z]{4})(?:and|et)(?=[a-z]{4})")
 
 
 def word_counts(records: DataFrame, name: str, share: float = SHARE) -> dict[str, int]:
@@ -34,24 +40,33 @@ def word_counts(records: DataFrame, name: str, share: float = SHARE) -> dict[str
     named = records.select(F.col(name).cast("string").alias("n")).where("n is not null")
     split = materialize(named.select(F.pandas_udf(words, "array<string>")("n").alias("w")), "name-words")
     least = share * split.count()
-    counted = split.select(F.explode("w").alias("w")).groupBy("w").count().where(F.col("count") >= least)
+    counted = split.select(F.explode("w").alias("w")).groupBy("w").count().where((F.col("count") >= max(least, LEAST)) | F.col("w").isin(*USUAL_WORDS))
     return {r["w"]: r["count"] for r in counted.collect()}
 
 
+def _once(sounds: str) -> str:
+    return _DOUBLE.sub(r"\1", sounds)
+
+
 def block_keys(rare: list[str], common: list[str]) -> list[str]:
-    """Phonetic codes of the sorted words, two and two, one of them rare; codes of rare words also with one sound left out.
+    """Phonetic codes of the sorted words, one of them rare; codes of rare words also with one sound left out.
 
-    Of the other word its first sound suffices where the code is whole and long, or where that word is an initial or a given name.
+    A whole code is paired with each other word's. Of that word the first sound suffices where the code is long, or where it is an
+    initial or a given name. A short code with a sound left out is shared by many words: it is paired with other rare words, and with
+    all other words at once.
     """
     words = sorted({*rare, *common})
-    keys = {"=" + code("".join([*rare, *common])), "=" + code("".join(sorted([*rare, *common])))}
+    joined = "".join([*rare, *common])
+    keys = {"=" + code(joined), "=" + code(_LINK.sub("", joined)), "=" + code("".join(words))}
     for r in rare:
-        c = fine_code(r)
-        cut = {c[:k] + c[k + 1 :] for k in range(len(c))} if len(c) >= 3 else set()
         others = [w for w in words if w != r]
-        first = {fine_code(w)[:1] for w in others if len(c) >= 4 or len(w) == 1 or w in GIVEN}
-        keys |= {f"{c}+{o}" for o in first}
-        keys |= {"~".join(sorted((f, o))) for f in cut | {c} for o in (map(fine_code, others) if others else ["-"])}
+        sounds = [fine_code(w) for w in others] or ["-"]
+        telling = {fine_code(w) for w in others if w in rare} | {"".join(sounds)}
+        for c in {fine_code(r), fine_code(r.replace("rn", "m"))}:
+            cut = {_once(c[:k] + c[k + 1 :]) for k in range(len(c))} if len(c) >= 3 else set()
+            keys |= {f"{c}+{fine_code(w)[:1]}" for w in others if len(c) >= 4 or len(w) == 1 or w in GIVEN}
+            keys |= {"~".join(sorted((c, o))) for o in sounds}
+            keys |= {"~".join(sorted((f, o))) for f in cut | {c} for o in (telling if len(c) <= 4 else sounds)}
     return sorted(keys)
 
 
@@ -70,7 +85,7 @@ def read_names(records: DataFrame, name: str, country: str) -> DataFrame:
 def common_words(names: DataFrame, share: float = SHARE) -> dict[str, int]:
     """The words that at least ``share`` of all rows hold, with the number of rows."""
     least = share * (names.agg(F.sum("n")).first()[0] or 0)
-    counted = names.select("n", F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    counted = names.select("n", F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.sum("n").alias("n")).where((F.col("n") >= max(least, LEAST)) | F.col("w").isin(*USUAL_WORDS))
     return {r["w"]: r["n"] for r in counted.collect()}
 
 
@@ -113,7 +128,7 @@ def judged_pairs(forms: DataFrame) -> DataFrame:
     y = forms.select(F.col("form").alias("b"), F.col("country").alias("cy"), F.col("parts").alias("y"), F.col("n_common").alias("ny"))
     judged = pairs.join(x, "a").join(y, "b").where("cx = cy").withColumn("v", F.pandas_udf(_verdict, "int")("x", "y"))
     shorter = F.when(F.col("nx") < F.col("ny"), F.col("a")).otherwise(F.col("b"))
-    return materialize(judged.where("v > 0").select("a", "b", "v", shorter.alias("short")), "name-pairs")
+    return materialize(judged.where("v <> 0").select("a", "b", "v", shorter.alias("short")), "name-pairs")
 
 
 def place_keys(parsed: tuple[str, str, str, list[str]]) -> list[str]:
@@ -135,8 +150,9 @@ def places(records: DataFrame, name: str, address: str, country: str) -> DataFra
                 out.append(place_keys(p) if p else [])
             yield pd.Series(out)
 
+    # places as numbers, the country among them
     rows = records.select(F.col(name).cast("string").alias("name"), F.col(address).cast("string").alias("address"), F.coalesce(F.col(country).cast("string"), F.lit("")).alias("country")).where("name is not null and address is not null")
-    return rows.distinct().withColumn("place", F.explode(F.pandas_udf(place, "array<string>")("address", "country"))).select("name", "country", F.xxhash64("address").alias("address"), "place").distinct()
+    return rows.distinct().withColumn("place", F.explode(F.pandas_udf(place, "array<string>")("address", "country"))).select("name", "country", F.xxhash64("address").alias("address"), F.xxhash64("country", "place").alias("place")).distinct()
 
 
 def name_clusters(records: DataFrame, name: str, address: str, country: str) -> DataFrame:
@@ -151,7 +167,12 @@ def name_clusters(records: DataFrame, name: str, address: str, country: str) ->
     """
     stored, forms = name_forms(records, name, country)
     judged = judged_pairs(forms)
-    found = components(judged.where("v = 2"), "a", "b").withColumnRenamed("node", "form")
+    # places of each form: known as soon as one of its stored names has them
+    at_form = materialize(places(records, name, address, country).join(stored, ["name", "country"]).select("form", "country", "address", "place").distinct(), "name-places")
+    where = at_form.select("form", "place").distinct()
+    swapped = judged.where("v = -1").select("a", "b")
+    swapped = swapped.join(where.withColumnRenamed("form", "a"), "a").join(where.withColumnRenamed("form", "b"), ["b", "place"]).select("a", "b")
+    found = components(judged.where("v = 2").select("a", "b").union(swapped), "a", "b").withColumnRenamed("node", "form")
     placed = materialize(forms.select("form").join(found, "form", "left").select("form", F.coalesce("component", "form").alias("c")), "name-components")
     of = stored.join(placed, "form").select("name", "country", "c")
     weak = (
@@ -163,11 +184,9 @@ def name_clusters(records: DataFrame, name: str, address: str, country: str) ->
         .distinct()
     )
     weak = materialize(weak, "weak-names")
-    placed_at = materialize(places(records, name, address, country).join(of, ["name", "country"]).select("c", "country", "address", "place").distinct(), "name-places")
-    at = placed_at.select("c", "country", "place").distinct()
-    shared = (
-        weak.join(at.select(F.col("c").alias("s"), "country", "place"), "s").join(at.select(F.col("c").alias("l"), "country", "place"), ["l", "country", "place"]).select("s", "l").distinct()
-    )
+    placed_at = materialize(at_form.join(placed, "form").select("c", "country", "address", "place").distinct(), "cluster-places")
+    at = placed_at.select("c", "place").distinct()
+    shared = weak.join(at.withColumnRenamed("c", "s"), "s").join(at.withColumnRenamed("c", "l"), ["l", "place"]).select("s", "l").distinct()
     # a short name that fits several longer ones at its place stays alone
     shared = shared.groupBy("s").agg(F.count("*").alias("k"), F.min("l").alias("l")).where("k = 1").select("s", "l")
     users = placed_at.select("c", "country", "address").distinct()
