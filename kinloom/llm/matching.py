@@ -39,7 +39,7 @@ def unscan(word: str) -> str:
     return word
 
 
-@functools.lru_cache(maxsize=262144)
+@functools.lru_cache(maxsize=32768)
 def distance(a: str, b: str, most: int = 2) -> int:
     """Edits (insert, delete, replace, swap of neighbours) between two words, ``most + 1`` where there are more."""
     if a == b:

@@ -73,7 +73,7 @@ _WORD = re.compile(r"[a-z0-9]+")
 _DOTTED = re.compile(r"(?<![a-z])(?:[a-z]\.\s?){2,}(?:[a-z]\b)?")
 
 
-@functools.lru_cache(maxsize=131072)
+@functools.lru_cache(maxsize=65536)
 def _says_nothing(word: str) -> bool:
     return word.isdigit() or word in _DROP or (len(word) >= 5 and any(alike(word, w) for w in _LONG_DROP))
 
@@ -111,7 +111,7 @@ _CODE = str.maketrans({"c": "k", "q": "k", "g": "k", "z": "s", "v": "b", "w": "b
 _SOUNDS = ((re.compile("ph"), "f"), (re.compile("s?ch|sh"), "s"), (re.compile("ck|kh"), "k"), (re.compile("(?<=[bdgjt])h"), ""), (re.compile("[ts]ion"), "sn"), (re.compile("x"), "ks"), (re.compile("c(?=[eiy])"), "s"), (re.compile("g(?=[eiy])"), "j"))
 
 
-@functools.lru_cache(maxsize=131072)
+@functools.lru_cache(maxsize=65536)
 def code(word: str) -> str:
     """Phonetic code: classes of consonants in order, doubles once; a leading vowel counts as such."""
     text = word
@@ -125,7 +125,7 @@ def code(word: str) -> str:
 _FINE = str.maketrans({"c": "k", "q": "k", "z": "s", "w": "v"})
 
 
-@functools.lru_cache(maxsize=131072)
+@functools.lru_cache(maxsize=65536)
 def fine_code(word: str) -> str:
     """Phonetic code that keeps voiced, voiceless, lip and nasal sounds apart: for rare words, of which there are many."""
     text = word
@@ -149,7 +149,7 @@ def shortens(short: str, long: str) -> bool:
     return all(ch in it for ch in short)
 
 
-@functools.lru_cache(maxsize=262144)
+@functools.lru_cache(maxsize=65536)
 def same_word(a: str, b: str, vocabulary: bool) -> bool:
     """Whether two words of names are one: equal, a typing error apart, a nickname, an initial of a given name, an abbreviation or the
     same to the ear (the last two only for words of the common vocabulary)."""
@@ -212,7 +212,9 @@ class Vocabulary:
         self.words = frozenset(self.counts)
         self._by_length: dict[tuple[str, int], list[str]] = {}
         self._by_code: dict[str, str] = {}
+        self._by_first: dict[str, list[str]] = {}
         for w in sorted(self.words, key=lambda w: (self.counts[w], w)):
+            self._by_first.setdefault(w[0], []).append(w)
             if not _CLUSTER.search(w) or len(w) > 5:
                 self._by_length.setdefault((w[0], len(w)), []).append(w)
                 self._by_code[code(w)] = w
@@ -238,7 +240,7 @@ class Vocabulary:
         if len(word) < 3:
             return ""
         clipped = _CLUSTER.search(word) and not word.endswith(("nd", "wy", "ry"))
-        full = [v for (first, n), vs in self._by_length.items() if first == word[0] and n > len(word) for v in vs if (clipped and shortens(word, v)) or (len(word) >= 4 and len(v) >= len(word) + 3 and v.startswith(word))]
+        full = [v for v in self._by_first.get(word[0], ()) if len(v) > len(word) and (not _CLUSTER.search(v) or len(v) > 5) and ((clipped and shortens(word, v)) or (len(word) >= 4 and len(v) >= len(word) + 3 and v.startswith(word)))]
         if len(full) > 1:
             self._unclear.add(word)
             return word
@@ -280,7 +282,7 @@ class Vocabulary:
             full = "" if word in GIVEN or len(word) > 6 or len(word) < 3 else self._spelled_out(word)
             return (full or given(word),)
         if (known := self._known.get((word, indic))) is None:
-            if len(self._known) > 200_000:
+            if len(self._known) > 100_000:
                 self._known.clear()
             found = self._near(word) or self._spelled_out(word) or (indic and self._sounds_like(word)) or ""
             known = self._known[word, indic] = (found,) if found else self._split(word)

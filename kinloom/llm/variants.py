@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from kinloom.llm.addresses import parse_address
 from kinloom.llm.matching import components
 from kinloom.llm.names import GIVEN, USUAL_WORDS, Vocabulary, code, fine_code, name_words, same_name
-from kinloom.session import bounded_broadcast, materialize
+from kinloom.session import bounded_broadcast, materialize, release
 
 #: A word is common if at least this share of the records holds it; so there are at most (words per name) / SHARE of them.
 SHARE = 0.0015
@@ -30,20 +30,6 @@ _DOUBLE = re.compile(r"(.)\1+")
 _LINK = re.compile(r"(?<=[a-z]{4})(?:and|et)(?=[a-z]{4})")
 
 
-def word_counts(records: DataFrame, name: str, share: float = SHARE) -> dict[str, int]:
-    """The common words over all records, with the number of records that hold each."""
-
-    def words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for series in batches:
-            yield pd.Series([sorted(set(name_words(n)[0])) for n in series])
-
-    named = records.select(F.col(name).cast("string").alias("n")).where("n is not null")
-    split = materialize(named.select(F.pandas_udf(words, "array<string>")("n").alias("w")), "name-words")
-    least = share * split.count()
-    counted = split.select(F.explode("w").alias("w")).groupBy("w").count().where((F.col("count") >= max(least, LEAST)) | F.col("w").isin(*USUAL_WORDS))
-    return {r["w"]: r["count"] for r in counted.collect()}
-
-
 def _once(sounds: str) -> str:
     return _DOUBLE.sub(r"\1", sounds)
 
@@ -89,26 +75,34 @@ def common_words(names: DataFrame, share: float = SHARE) -> dict[str, int]:
     return {r["w"]: r["n"] for r in counted.collect()}
 
 
-def name_forms(records: DataFrame, name: str, country: str) -> tuple[DataFrame, DataFrame]:
-    """(stored name and country to form, distinct forms). A form is country, rare words and common words, the latter two in one text."""
+def parsed_names(records: DataFrame, name: str, country: str) -> DataFrame:
+    """``name, country, form, parts, n_common, keys``: each distinct name with its rare and common words in one text and its blocks.
+
+    A form is country, rare and common words. A name without a rare word and two common ones tells no business: its ``keys`` are null.
+    """
     names = read_names(records, name, country)
     model = records.sparkSession.sparkContext.broadcast(common_words(names))
 
     def parse(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         vocabulary = Vocabulary(model.value)
         for words, indic in batches:
-            rows = []
-            for w, i in zip(words, indic):
-                rare, common = vocabulary.parts(w, i)
-                rows.append((" ".join(rare) + "|" + " ".join(common), len(common), block_keys(rare, common)) if rare or len(common) > 1 else (None, None, None))
-            yield pd.DataFrame(rows, columns=["parts", "n_common", "keys"])
-
-    parsed = names.withColumn("p", F.pandas_udf(parse, "parts string, n_common int, keys array<string>")("words", "indic")).select("name", "country", "p.*").where("parts is not null")
+            # a name has dozens of blocks: names are handed over in small parts, which bounds the worker's memory
+            for at in range(0, len(words), 2000):
+                rows = []
+                for w, i in zip(words[at : at + 2000], indic[at : at + 2000]):
+                    rare, common = vocabulary.parts(w, i)
+                    rows.append((" ".join(rare) + "|" + " ".join(common), len(common), block_keys(rare, common) if rare or len(common) > 1 else None))
+                yield pd.DataFrame(rows, columns=["parts", "n_common", "keys"])
+
+    parsed = names.withColumn("p", F.pandas_udf(parse, "parts string, n_common int, keys array<string>")("words", "indic")).select("name", "country", "p.*")
+    # a block is one number for country and key
+    parsed = parsed.withColumn("keys", F.transform("keys", lambda k: F.xxhash64("country", k)))
     parsed = materialize(parsed.withColumn("form", F.unhex(F.md5(F.concat_ws("|", "country", "parts")))), "name-forms")
-    return parsed.select("name", "country", "form"), parsed.dropDuplicates(["form"]).drop("name")
+    release(names)
+    return parsed
 
 
-@functools.lru_cache(maxsize=65536)
+@functools.lru_cache(maxsize=16384)
 def _parts(text: str) -> tuple[list[str], list[str]]:
     rare, _, common = text.partition("|")
     return rare.split(), common.split()
@@ -118,17 +112,24 @@ def _verdict(x: pd.Series, y: pd.Series) -> pd.Series:
     return pd.Series([same_name(*_parts(a), *_parts(b)) for a, b in zip(x, y)], dtype="int32")
 
 
-def judged_pairs(forms: DataFrame) -> DataFrame:
-    """Pairs of forms that share a block, with the verdict of the comparison: ``a, b, v, short`` (v as in ``same_name``)."""
-    # a block is one number for country and key; should two ever share it, the check of the country parts them
-    index = forms.select("form", "country", F.explode("keys").alias("key")).select("form", F.xxhash64("country", "key").alias("h"))
-    a, b = index.withColumnRenamed("form", "a"), index.withColumnRenamed("form", "b")
-    pairs = a.join(b, "h").where("a < b").select("a", "b").distinct()
-    x = forms.select(F.col("form").alias("a"), F.col("country").alias("cx"), F.col("parts").alias("x"), F.col("n_common").alias("nx"))
-    y = forms.select(F.col("form").alias("b"), F.col("country").alias("cy"), F.col("parts").alias("y"), F.col("n_common").alias("ny"))
+def judged_pairs(left: DataFrame, right: DataFrame | None = None) -> DataFrame:
+    """Pairs of forms that share a block, with the verdict of the comparison: ``a, b, v, short`` (v as in ``same_name``, 0 left out).
+
+    Within one table each pair comes once; with ``right``, ``a`` is of ``left`` and ``b`` of ``right``, equal forms included.
+    """
+    other = left if right is None else right
+    a = left.select(F.col("form").alias("a"), F.explode("keys").alias("h"))
+    b = other.select(F.col("form").alias("b"), F.explode("keys").alias("h"))
+    pairs = a.join(b, "h").where("a < b") if right is None else a.join(b, "h")
+    pairs = materialize(pairs.select("a", "b").distinct(), "blocked-pairs")
+    x = left.select(F.col("form").alias("a"), F.col("country").alias("cx"), F.col("parts").alias("x"), F.col("n_common").alias("nx"))
+    y = other.select(F.col("form").alias("b"), F.col("country").alias("cy"), F.col("parts").alias("y"), F.col("n_common").alias("ny"))
+    # should two blocks ever share a number, the check of the country parts them
     judged = pairs.join(x, "a").join(y, "b").where("cx = cy").withColumn("v", F.pandas_udf(_verdict, "int")("x", "y"))
     shorter = F.when(F.col("nx") < F.col("ny"), F.col("a")).otherwise(F.col("b"))
-    return materialize(judged.where("v <> 0").select("a", "b", "v", shorter.alias("short")), "name-pairs")
+    judged = materialize(judged.where("v <> 0").select("a", "b", "v", shorter.alias("short")), "name-pairs")
+    release(pairs)
+    return judged
 
 
 def place_keys(parsed: tuple[str, str, str, list[str]]) -> list[str]:
@@ -139,8 +140,8 @@ def place_keys(parsed: tuple[str, str, str, list[str]]) -> list[str]:
     return sorted(pairs | ({f"{number}|{a}|{postal}" for a in codes} if postal else set()))
 
 
-def places(records: DataFrame, name: str, address: str, country: str) -> DataFrame:
-    """Places of each stored name, of every address however many rows hold it: ``name, country, address`` (as one number) and ``place``."""
+def address_places(records: DataFrame, address: str, country: str) -> DataFrame:
+    """``address, country, places``: the places of each distinct address as numbers (the country among them); none for an address without."""
 
     def place(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for addresses, countries in batches:
@@ -150,9 +151,9 @@ def places(records: DataFrame, name: str, address: str, country: str) -> DataFra
                 out.append(place_keys(p) if p else [])
             yield pd.Series(out)
 
-    # places as numbers, the country among them
-    rows = records.select(F.col(name).cast("string").alias("name"), F.col(address).cast("string").alias("address"), F.coalesce(F.col(country).cast("string"), F.lit("")).alias("country")).where("name is not null and address is not null")
-    return rows.distinct().withColumn("place", F.explode(F.pandas_udf(place, "array<string>")("address", "country"))).select("name", "country", F.xxhash64("address").alias("address"), F.xxhash64("country", "place").alias("place")).distinct()
+    rows = records.select(F.col(address).cast("string").alias("address"), F.coalesce(F.col(country).cast("string"), F.lit("")).alias("country")).where("address is not null").distinct()
+    made = rows.withColumn("places", F.pandas_udf(place, "array<string>")("address", "country"))
+    return made.withColumn("places", F.transform("places", lambda p: F.xxhash64("country", p)))
 
 
 def name_clusters(records: DataFrame, name: str, address: str, country: str) -> DataFrame:
@@ -165,10 +166,13 @@ def name_clusters(records: DataFrame, name: str, address: str, country: str) ->
     * Null names, and names without two common words or a rare one, are in no cluster. Texts are read whole.
     * An empty table gives an empty result; other columns are ignored; repeated rows change nothing.
     """
-    stored, forms = name_forms(records, name, country)
+    parsed = parsed_names(records, name, country).where("keys is not null")
+    stored, forms = parsed.select("name", "country", "form"), parsed.dropDuplicates(["form"]).drop("name")
     judged = judged_pairs(forms)
     # places of each form: known as soon as one of its stored names has them
-    at_form = materialize(places(records, name, address, country).join(stored, ["name", "country"]).select("form", "country", "address", "place").distinct(), "name-places")
+    uses = records.select(F.col(name).cast("string").alias("name"), F.col(address).cast("string").alias("address"), F.coalesce(F.col(country).cast("string"), F.lit("")).alias("country")).where("name is not null and address is not null").distinct()
+    at_form = uses.join(address_places(uses, "address", "country"), ["address", "country"]).join(stored, ["name", "country"])
+    at_form = materialize(at_form.select("form", "country", F.xxhash64("address").alias("address"), F.explode("places").alias("place")).distinct(), "name-places")
     where = at_form.select("form", "place").distinct()
     swapped = judged.where("v = -1").select("a", "b")
     swapped = swapped.join(where.withColumnRenamed("form", "a"), "a").join(where.withColumnRenamed("form", "b"), ["b", "place"]).select("a", "b")
