@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinloom.functions.vocab import ADDRESS_SHORT, DESIGNATORS, IN_STATES, STATE_CODES, US_STATES
-from kinloom.llm.matching import alike, components, fold, matched_words, unscan
+from kinloom.llm.matching import components, distance, fold, unmatched_words, unscan
 from kinloom.session import materialize
 
 COSINE = 0.3
@@ -24,7 +24,7 @@ _SUITE = re.compile(r"\b(?:suite|ste|unit|apt|apartment|floor|fl|level|room|rm)\
 _AFTER_DESIGNATOR = re.compile(r"(?<=plot|shop|flat|door)[\s.]*#|(?<=house)[\s.]*#|(?<=\bno)[\s.]*#")
 _HASH = re.compile(r"#\s*(\d+)")
 _FLOOR = re.compile(r"\b\d+\s*(?:er|re|e|eme|st|nd|rd|th)\s+(?:etage|floor)\b|\brez[ -]de[ -]chaussee\b")
-_FRANCE = re.compile(r"\bcedex\b(?:\s*\d{1,2}\b(?!\d))?|\bbp\s*\d+|\bz\s*\.?\s*[iac]\b\.?(?:\s+(?:nord|sud|est|ouest))?")
+_FRANCE = re.compile(r"\bbat(?:iment)?\b\.?\s+[a-z0-9]\b|\bcedex\b(?:\s*\d{1,2}\b(?!\d))?|\bbp\s*\d+|\bz\s*\.?\s*[iac]\b\.?(?:\s+(?:nord|sud|est|ouest))?")
 _LANDMARK = re.compile(r"\b(?:opp|opposite|near|behind|beside|next to|nr|adj)\b\.?\s+")
 _ZIP4 = re.compile(r"\b(\d{5})\s*-\s*\d{4}\b")
 _HALF = re.compile(r"\b(\d+)\s*1\s*/\s*2\b")
@@ -32,6 +32,9 @@ _COUNTRY = re.compile(r"\bu\.?\s?s\.?\s?a\b\.?|\bunited states(?: of america)?\b
 _MULTI = re.compile(r"\b(?:" + "|".join(sorted((s for s in STATE_CODES if " " in s), key=len, reverse=True)) + r")\b")
 _NAGAR = re.compile(r"(?<=[a-z]{2})n(?:a?gr|gar)$")
 _TOKENS = re.compile(r"[a-z0-9]+")
+_PART = re.compile(r"[,;]")
+#: "12-14": the buildings of one side of a street; elsewhere than in India, where such numbers are compound.
+_RANGE = re.compile(r"(?<![\d-])(\d{1,4})[a-z]?\s*[-–/]\s*(\d{1,4})[a-z]?(?![\d-])")
 #: Further kinds of streets and their short forms.
 _KINDS = (
     "bld", "boul", "che", "clny", "crt", "drv", "gali", "market", "marg", "mg", "mkt", "pky", "rue", "so", "spgs", "springs",
@@ -41,6 +44,8 @@ _GENERIC = frozenset(
     [*ADDRESS_SHORT, *ADDRESS_SHORT.values(), *DESIGNATORS, *_KINDS, "d", "rue", "r", "quai", "cours", "falls", "spring", "city", "town", "village", "sur", "mer", "les", "bains", "le", "la", "de", "du", "des"]
     + ["the", "us", "number", "num", "door", "etage", "and", "bis", "nord", "sud", "est", "ouest", "way", "lane"]
 )
+#: Codes of states that are also short forms of kinds of streets; such a word is a state only where it is alone in its part.
+_UNCLEAR_STATES = frozenset(STATE_CODES.values()) & frozenset([*ADDRESS_SHORT, *ADDRESS_SHORT.values()])
 _STATES = {"US": {**US_STATES, **{c: c for c in US_STATES.values()}}, "India": {**IN_STATES, **{c: c for c in IN_STATES.values()}}, "France": {}}
 #: Landmarks are two words, or three after these.
 _THREE = ("old", "new")
@@ -62,6 +67,12 @@ def _drop_landmarks(text: str) -> str:
 
 def parse_address(address: str | None, country: str | None) -> tuple[str, str, str, list[str]] | None:
     """(house number, postal code, state, telling words) of one address, or None if it names no building."""
+    parsed = parse_numbers(address, country)
+    return None if parsed is None else (parsed[0][0], *parsed[1:])
+
+
+def parse_numbers(address: str | None, country: str | None) -> tuple[list[str], str, str, list[str]] | None:
+    """As ``parse_address``, with all house numbers: those of a range ("12-14": 12 and 14), else the one."""
     if not address:
         return None
     text = _EMPTY.sub(" , ", fold(address))
@@ -77,7 +88,13 @@ def parse_address(address: str | None, country: str | None) -> tuple[str, str, s
     text = _HALF.sub(r"\1", text)
     text = _MULTI.sub(lambda m: STATE_CODES[m.group()], text)
     states = _STATES.get(country or "", STATE_CODES)
-    number = postal = state = ""
+    span: list[str] = []
+    if country != "India" and (m := _RANGE.search(text)) and 0 < int(m.group(1)) < int(m.group(2)) <= int(m.group(1)) + 98:
+        low, high = int(m.group(1)), int(m.group(2))
+        span = [str(n) for n in range(low, high + 1, 2 if (high - low) % 2 == 0 else 1)]
+        text = text[: m.end(1)] + " " + text[m.end() :]
+    lone = {p.strip(" .0123456789-") for p in _PART.split(text)}
+    postal = state = ""
     digits = 6 if country == "India" else 5
     codes: list[str] = []
     numbers: list[str] = []
@@ -91,7 +108,7 @@ def parse_address(address: str | None, country: str | None) -> tuple[str, str, s
                 numbers.append(value.lstrip("0"))
             continue
         token = _NAGAR.sub("nagar", unscan(token))
-        if token in states:
+        if token in states and (token not in _UNCLEAR_STATES or token in lone):
             state = states[token]
         elif len(token) > 1 and token not in _GENERIC and token not in words:
             m = re.fullmatch(r"([a-z]+)(\d+)", token)
@@ -105,37 +122,45 @@ def parse_address(address: str | None, country: str | None) -> tuple[str, str, s
     numbers += [h.lstrip("0") for h in hashed if h.lstrip("0")]
     if not numbers or not words:
         return None
-    number = numbers[0]
-    return number, postal, state, words
+    return span if span and span[0] == numbers[0] else numbers[:1], postal, state, words
 
 
 def grams(words: list[str]) -> list[str]:
     return sorted({f"^{w}$"[k : k + 3] for w in words for k in range(len(w))})
 
 
-_FORM = "number string, postal string, state string, words array<string>, grams array<string>"
+_FORM = "numbers array<string>, postal string, state string, words array<string>, grams array<string>"
 
 
 def _parse(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     for address, country in batches:
         rows = []
         for a, c in zip(address, country):
-            p = parse_address(a, c)
+            p = parse_numbers(a, c)
             rows.append((None, None, None, None, None) if p is None else (p[0], p[1], p[2], sorted(p[3]), grams(p[3])))
-        yield pd.DataFrame(rows, columns=["number", "postal", "state", "words", "grams"])
+        yield pd.DataFrame(rows, columns=["numbers", "postal", "state", "words", "grams"])
 
 
 def same_building(a_words, b_words, a_postal: str, b_postal: str, a_state: str, b_state: str) -> int:
-    """2: certainly the same building (number and country agree already); 1: nothing speaks against it; 0: not."""
-    n = matched_words(list(a_words), list(b_words))
-    if n == 0:
+    """2: certainly the same building (number and country agree already); 1: nothing speaks against it; 0: not.
+
+    Two known states, or two known postal codes more than a typing error apart, speak against it; so do words without a partner on both
+    sides, as of two towns with one street name, unless the codes are equal and two words agree or the others are two errors apart.
+    """
+    left_a, left_b = unmatched_words(list(a_words), list(b_words))
+    n = len(a_words) - len(left_a)
+    if n == 0 or (a_state and b_state and a_state != b_state):
         return 0
-    if n >= 2 or (a_postal and a_postal == b_postal):
-        return 2
-    if a_postal and b_postal:
+    codes = bool(a_postal and b_postal)
+    if codes and distance(a_postal, b_postal, 1) > 1:
         return 0
-    if a_state and b_state and a_state != b_state:
+    apart = bool(left_a and left_b)
+    if n >= 2:
+        return 0 if apart and not (codes and a_postal == b_postal) else 2
+    if apart and not (codes and a_postal == b_postal and len(left_a) == len(left_b) == 1 and len(left_a[0]) >= 5 and distance(left_a[0], left_b[0], 2) <= 2):
         return 0
+    if codes:
+        return 2 if a_postal == b_postal else 0
     return 1 if min(len(a_words), len(b_words)) == 1 else 0
 
 
@@ -149,15 +174,15 @@ def _weights(df: DataFrame) -> dict[str, float]:
 def address_forms(records: DataFrame, id_col: str, address: str, country: str) -> tuple[DataFrame, DataFrame]:
     """(stored address to form, distinct forms). A form is country, number, postal code, state and sorted telling words."""
     distinct = records.select(F.col(address).cast("string").alias("address"), F.col(country).cast("string").alias("country")).where("address is not null").distinct()
-    parsed = distinct.withColumn("p", F.pandas_udf(_parse, _FORM)("address", "country")).select("address", "country", "p.*").where("number is not null")
-    parsed = materialize(parsed.withColumn("form", F.unhex(F.md5(F.concat_ws("|", F.coalesce("country", F.lit("")), "number", "postal", "state", F.array_join("words", " "))))), "forms")
+    parsed = distinct.withColumn("p", F.pandas_udf(_parse, _FORM)("address", "country")).select("address", "country", "p.*").where("numbers is not null")
+    parsed = materialize(parsed.withColumn("form", F.unhex(F.md5(F.concat_ws("|", F.coalesce("country", F.lit("")), F.array_join("numbers", "-"), "postal", "state", F.array_join("words", " "))))), "forms")
     stored = parsed.select("address", "country", "form")
-    forms = parsed.dropDuplicates(["form"]).select("form", "country", "number", "postal", "state", "words", "grams")
+    forms = parsed.dropDuplicates(["form"]).select("form", "country", "numbers", "postal", "state", "words", "grams")
     return stored, forms
 
 
 def candidate_forms(forms: DataFrame, cosine: float = COSINE) -> DataFrame:
-    """Pairs of forms of one country and house number with cosine similarity of at least ``cosine``: ``a, b, similarity``.
+    """Pairs of forms of one country and with a common house number, with cosine similarity of at least ``cosine``: ``a, b, similarity``.
 
     Exact: a pair at or above the threshold shares a trigram of both prefixes, the rarest trigrams after which
     less than ``cosine`` of a vector's length is left.
@@ -192,13 +217,14 @@ def candidate_forms(forms: DataFrame, cosine: float = COSINE) -> DataFrame:
                 out.append(dot / math.sqrt(sum(w[g] ** 2 for g in x) * sum(w[g] ** 2 for g in y)))
             yield pd.Series(out)
 
-    # an index entry is one number for country, house number and trigram; should two ever share it, the check below parts them
-    index = forms.select("form", F.coalesce("country", F.lit("")).alias("country"), "number", F.explode(prefix("grams")).alias("g")).select("form", F.xxhash64("country", "number", "g").alias("h"))
+    # an index entry is one number for country, house number (each of a range) and trigram; should two ever share it, the check below parts them
+    index = forms.select("form", F.coalesce("country", F.lit("")).alias("country"), "numbers", prefix("grams").alias("gs")).select("form", "country", F.explode("numbers").alias("number"), "gs")
+    index = index.select("form", "country", "number", F.explode("gs").alias("g")).select("form", F.xxhash64("country", "number", "g").alias("h"))
     a, b = index.withColumnRenamed("form", "a"), index.withColumnRenamed("form", "b")
     pairs = a.join(b, "h").where("a < b").select("a", "b").distinct()
-    x = forms.select(F.col("form").alias("a"), F.struct("country", "number", "words", "postal", "state", "grams").alias("x"))
-    y = forms.select(F.col("form").alias("b"), F.struct("country", "number", "words", "postal", "state", "grams").alias("y"))
-    joined = pairs.join(x, "a").join(y, "b").where(F.col("x.country").eqNullSafe(F.col("y.country")) & (F.col("x.number") == F.col("y.number")))
+    x = forms.select(F.col("form").alias("a"), F.struct("country", "numbers", "words", "postal", "state", "grams").alias("x"))
+    y = forms.select(F.col("form").alias("b"), F.struct("country", "numbers", "words", "postal", "state", "grams").alias("y"))
+    joined = pairs.join(x, "a").join(y, "b").where(F.col("x.country").eqNullSafe(F.col("y.country")) & F.arrays_overlap("x.numbers", "y.numbers"))
     return joined.withColumn("similarity", similarity(F.col("x.grams"), F.col("y.grams"))).where(F.col("similarity") >= cosine)
 
 

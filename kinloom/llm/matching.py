@@ -88,24 +88,22 @@ def alike(a: str, b: str) -> bool:
     return _one_edit(a, b) if shorter < 8 else distance(a, b, 2) <= 2
 
 
-def matched_words(a: list[str], b: list[str]) -> int:
-    """Words of ``a`` that have a partner of their own in ``b``: exact partners first, then those alike."""
-    rest_b = list(b)
-    rest_a = []
-    n = 0
+def unmatched_words(a: list[str], b: list[str]) -> tuple[list[str], list[str]]:
+    """Words of either side without a partner of their own on the other: equal partners first, then those alike."""
+    left_b = list(b)
+    rest, left_a = [], []
     for w in a:
-        if w in rest_b:
-            rest_b.remove(w)
-            n += 1
+        if w in left_b:
+            left_b.remove(w)
         else:
-            rest_a.append(w)
-    for w in rest_a:
-        for v in rest_b:
-            if alike(w, v):
-                rest_b.remove(v)
-                n += 1
-                break
-    return n
+            rest.append(w)
+    for w in rest:
+        partner = next((v for v in left_b if alike(w, v)), None)
+        if partner is None:
+            left_a.append(w)
+        else:
+            left_b.remove(partner)
+    return left_a, left_b
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:

@@ -56,6 +56,21 @@ def test_locations(spark):
     assert {tuple(r) for r in addresses.same_location_pairs(df, "id", "ad", "co").collect()} == want
 
 
+def test_one_street_name_in_two_towns_and_ranges(spark):
+    same = [
+        ("100 Martin Luther King Blvd, Dallas, TX 75215", "100 Martin Luther King Boulevard, Dallas", True), ("100 Martin Luther King Blvd, Dallas, TX 75215", "100 Martin Luther King Blvd, Houston, TX 77021", False),
+        ("12 Old Mill Rd, Springfield, IL", "12 Old Mill Rd, Dayton, OH", False), ("12 Old Mill Rd, Springfield", "12 Old Mill Rd, Dayton", False), ("12 Old Mill Rd, Springfield, IL 62701", "12 Old Mill Rd, Springfield, IL 62710", True),
+        ("12 Kelford Road, Brackton 10000", "12 Wenlow Road, Brackton 10000", False), ("7 Kelford Ct, Brackton, TX", "7 Kelford Court, Brackton", True), ("7 Kelford Street, Brackton, CT", "7 Kelford Street, Brackton, TX", False),
+        ("12-14 Baker Street, Brackton", "14 Baker Street, Brackton", True), ("12-14 Baker Street, Brackton", "13 Baker Street, Brackton", False), ("12/14 Baker Street, Brackton", "12 Baker St., Brackton", True),
+    ]
+    for k, (x, y, one) in enumerate(same):
+        a, b = addresses.parse_numbers(x, "US"), addresses.parse_numbers(y, "US")
+        assert (bool({*a[0]} & {*b[0]}) and addresses.same_building(a[3], b[3], a[1], b[1], a[2], b[2]) == 2) == one, (k, a, b)
+    rows = [("a", "12-14 Baker Street, Brackton"), ("b", "14 Baker St., Brackton"), ("c", "16 Baker Street, Brackton")]
+    df = spark.createDataFrame([(*r, "US") for r in rows], "id string, ad string, co string")
+    assert {tuple(r) for r in addresses.same_location_pairs(df, "id", "ad", "co").collect()} == {("a", "b")}
+
+
 def test_prefix_filter_loses_nothing(spark):
     rng = random.Random(3)
     parts = ["kel", "tru", "vek", "mar", "lin", "bas", "os", "ri"]
@@ -63,8 +78,8 @@ def test_prefix_filter_loses_nothing(spark):
     forms = []
     for k in range(120):
         words = sorted({word(), word()})
-        forms.append((f"f{k:03d}", "US", str(rng.randint(1, 3)), "", "", words, addresses.grams(words)))
-    df = spark.createDataFrame(forms, "form string, country string, number string, postal string, state string, words array<string>, grams array<string>")
+        forms.append((f"f{k:03d}", "US", [str(rng.randint(1, 3))], "", "", words, addresses.grams(words)))
+    df = spark.createDataFrame(forms, "form string, country string, numbers array<string>, postal string, state string, words array<string>, grams array<string>")
     w = addresses._weights(df)
     want = set()
     for x, y in itertools.combinations(forms, 2):
