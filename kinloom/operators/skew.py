@@ -12,28 +12,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def heavy_keys(df: DataFrame, key: str, share: float) -> DataFrame:
-    """Exactly the non-null values of ``key`` that hold at least ``share`` of all rows: one column ``key``, at most ``1 / share`` rows.
+def heavy_counts(df: DataFrame, key: str, share: float) -> tuple[list[tuple], int]:
+    """The non-null values of ``key`` that hold at least ``share`` of all rows, with their exact counts, and the number of all rows.
 
     A frequent-items sketch with ``16 / share`` counters has an error below ``share / 4`` of the rows, so every true
     heavy key is among its ``1 / (0.75 * share)`` largest estimates. Those few candidates are counted exactly in a second,
-    map-side combined pass, and only the true ones are kept. Rows with a null key count among the rows. An empty table gives no rows.
+    map-side combined pass, and only the true ones are kept: at most ``1 / share``, whatever the size of the input.
     """
     if not 0 < share <= 1:
         raise ValueError("share must be in (0, 1]")
     keys = df.select(F.col(key).alias("k"))
     at_most = math.ceil(4 / (3 * share)) + 1
     top = keys.where("k is not null").agg(F.expr(f"approx_top_k(k, {at_most}, {max(64, at_most, math.ceil(16 / share))})").alias("top"))
-    likely = [r["k"] for r in top.select(F.explode("top").alias("t")).select(F.col("t.item").alias("k")).collect()]
+    likely = [(r["k"],) for r in top.select(F.explode("top").alias("t")).select(F.col("t.item").alias("k")).collect()]
     if not likely:
-        return keys.select(F.col("k").alias(key)).limit(0)
-    # one pass: keys that are not likely share one group, so at most len(likely) + 1 partial rows leave a task
-    spark = df.sparkSession
-    candidates = F.broadcast(spark.createDataFrame([(k,) for k in likely], keys.schema).withColumnRenamed("k", "c"))
+        return [], 0
+    # keys that are not likely share one group, so at most len(likely) + 1 partial rows leave a task
+    candidates = F.broadcast(df.sparkSession.createDataFrame(likely, keys.schema).withColumnRenamed("k", "c"))
     counted = keys.join(candidates, F.col("k") == F.col("c"), "left").groupBy("c").count().collect()
-    least = share * sum(r["count"] for r in counted)
-    heavy = [(r["c"],) for r in counted if r["c"] is not None and r["count"] >= least]
-    return spark.createDataFrame(heavy, keys.schema).withColumnRenamed("k", key)
+    total = sum(r["count"] for r in counted)
+    return [(r["c"], r["count"]) for r in counted if r["c"] is not None and r["count"] >= share * total], total
+
+
+def heavy_keys(df: DataFrame, key: str, share: float) -> DataFrame:
+    """Exactly the non-null values of ``key`` that hold at least ``share`` of all rows: one column ``key``, at most ``1 / share`` rows.
+
+    Rows with a null key count among the rows. An empty table gives no rows.
+    """
+    keys = df.select(key)
+    return df.sparkSession.createDataFrame([(k,) for k, _ in heavy_counts(df, key, share)[0]], keys.schema)
 
 
 def balanced_group_stats(df: DataFrame, key: str, id_col: str, time_col: str, share: float = 0.01) -> DataFrame:
