@@ -8,11 +8,12 @@ The code that is bisected is the score first, then the identifier, six bytes at
 from __future__ import annotations
 
 import functools
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinloom.operators.skew import heavy_keys
+from kinloom.operators.skew import heavy_counts
 from kinloom.session import materialize
 
 #: Bisection steps done in one pass over the data: 2**STEPS - 1 midpoints are counted at once.
@@ -49,13 +50,16 @@ def top_n_by_bisection(df: DataFrame, group: str, item: str, score: str, n: int)
     # infinities keep their order but leave room for finite midpoints
     rows = rows.withColumn("c", F.when(F.col("s") == float("inf"), 1.7e308).when(F.col("s") == float("-inf"), -1.7e308).otherwise(F.col("s")))
     rows = materialize(rows, "topn-rows")
-    # groups of at least a hundredth of the rows (at most 135) are cut into pieces; their bounds are copied to each piece
-    heavy = F.broadcast(heavy_keys(rows, "g", 0.01).withColumn("hot", F.lit(True)))
-    pieces = 24
-    rows = rows.join(heavy, "g", "left").withColumn("piece", F.when(F.col("hot"), F.pmod(F.xxhash64("i"), F.lit(pieces))).otherwise(F.lit(0)).cast("int")).drop("hot")
+    # a group of more than a quarter of a task's even share of the rows is cut into pieces of at most that size; its bounds are copied to each
+    # piece. There are fewer such groups than four times the tasks
+    share = 1 / (4 * max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    hot, total = heavy_counts(rows, "g", share)
+    heavy = df.sparkSession.createDataFrame([(g, math.ceil(n / (share * total))) for g, n in hot], rows.select("g", F.lit(1).alias("pieces")).schema)
+    heavy = F.broadcast(heavy)
+    rows = rows.join(heavy, "g", "left").withColumn("piece", F.when(F.col("pieces") > 1, F.pmod(F.xxhash64("i"), F.col("pieces"))).otherwise(0).cast("int")).drop("pieces")
 
     def on_pieces(bounds: DataFrame) -> DataFrame:
-        return bounds.join(heavy, "g", "left").withColumn("piece", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(pieces - 1))).otherwise(F.array(F.lit(0))))).drop("hot")
+        return bounds.join(heavy, "g", "left").withColumn("piece", F.explode(F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1))).drop("pieces")
 
     first = rows.groupBy("g").agg(F.count("*").alias("cnt"), F.min("c").alias("lo"), F.max("c").alias("hi"))
     small = first.where(F.col("cnt") <= n).select("g")
@@ -125,5 +129,9 @@ def _refine(live: DataFrame, bounds: DataFrame, on_pieces) -> tuple[DataFrame, D
         chosen += [exact, single.select("g", F.col("lo").alias("cut"), F.lit(False).alias("incl"))]
         ties.append(single.select("g", F.col("lo").alias("cut"), "need"))
         bounds = state.where("need < cnt and lo < hi")
+        # only rows of open intervals are looked at again: a small part of the rows of those groups
+        if not bounds.isEmpty():
+            inside = live.join(on_pieces(bounds.select("g", "lo", "hi")), ["g", "piece"]).where((F.col("c") >= F.col("lo")) & (F.col("c") <= F.col("hi")))
+            live = materialize(inside.select(*live.columns), "topn-live")
     union = functools.partial(functools.reduce, DataFrame.unionByName)
     return bounds, union(chosen), union(ties)
