@@ -19,16 +19,20 @@ from pyspark.sql import functions as F
 
 #: Letters of other alphabets (or rarely used Latin ones) that look like the Latin letter given first.
 LOOKALIKES = {
-    "a": "аɑα", "c": "сϲ", "d": "ԁ", "e": "еҽ", "g": "ɡց", "h": "һհ", "i": "іıιɩ", "j": "јϳ", "k": "кκ", "l": "ӏǀ",
+    "a": "аɑα", "b": "Ꮟ", "c": "сϲ", "d": "ԁ", "e": "еҽ", "g": "ɡց", "h": "һհ", "i": "іıιɩᎥ", "j": "јϳ", "k": "кκ", "l": "ӏǀ",
     "n": "ոп", "o": "оοօσ", "p": "рρ", "q": "ԛգ", "s": "ѕ", "u": "υս", "v": "νѵ", "w": "ԝա", "x": "хχ", "y": "уγ",
-    "A": "АΑ", "B": "ВΒ", "C": "СϹ", "E": "ЕΕ", "F": "Ϝ", "G": "Ԍ", "H": "НΗ", "I": "ІΙӀ", "J": "ЈͿ", "K": "КΚ",
-    "L": "Լ", "M": "МΜ", "N": "Ν", "O": "ОΟՕ", "P": "РΡ", "Q": "Ԛ", "S": "ЅՏ", "T": "ТΤ", "U": "Ս", "V": "Ѵ",
-    "W": "Ԝ", "X": "ХΧ", "Y": "УΥҮ", "Z": "Ζ", "ë": "ё", "Ë": "Ё", "ï": "ї", "Ï": "Ї", "-": "‐‑", "/": "∕⁄",
+    "A": "АΑᎪꓮ", "B": "ВΒᏴꓐ", "C": "СϹᏟꓚ", "D": "Ꭰꓓ", "E": "ЕΕᎬꓰ", "F": "Ϝꓝ", "G": "ԌᏀꓖ", "H": "НΗᎻꓧ", "I": "ІΙӀꓲ", "J": "ЈͿᎫꓙ",
+    "K": "КΚᏦꓗ", "L": "ԼᏞꓡ", "M": "МΜᎷꓟ", "N": "Νꓠ", "O": "ОΟՕꓳ", "P": "РΡᏢꓑ", "Q": "Ԛ", "R": "ᎡᏒꓣ", "S": "ЅՏᏚꓢ", "T": "ТΤᎢꓔ", "U": "Սꓴ",
+    "V": "ѴᏙꓦ", "W": "ԜᎳᏔꓪ", "X": "ХΧꓫ", "Y": "УΥҮᎩꓬ", "Z": "ΖᏃꓜ", "ë": "ё", "Ë": "Ё", "ï": "ї", "Ï": "Ї", "3": "Зз", "-": "‐‑", "/": "∕⁄",
 }
 READINGS: dict[str, str] = {}
 for _latin, _others in LOOKALIKES.items():
     for _ch in _others:
         READINGS[_ch] = READINGS.get(_ch, "") + _latin
+#: The other way: what a letter beside letters of another alphabet may stand for.
+OTHERS = {latin: others for latin, others in LOOKALIKES.items() if latin.isalpha()}
+#: Alphabets that no plain word mixes with Latin letters.
+APART = frozenset({"CYRILLIC", "GREEK", "ARMENIAN", "CHEROKEE", "LISU"})
 #: Letters the score model knows: both sides of the table. The model has at most (len + 2) ** 2 entries.
 ALPHABET = frozenset("".join(READINGS).lower() + "".join(LOOKALIKES).lower() + "abcdefghijklmnopqrstuvwxyz")
 #: Compatibility characters that look like what they are, not like plain letters.
@@ -113,10 +117,10 @@ class LatticeReader:
         return self._log.get(a + b) or self._none.get(a, self._unseen)
 
     def token(self, token: str, main: str) -> str:
-        if not any(ch in READINGS for ch in token):
+        if token.isascii() or not any(ch in READINGS for ch in token) and not _mixed(token):
             return token
         if (known := self._known.get(key := main + " " + token)) is None:
-            if len(self._known) > 200_000:
+            if len(self._known) > 100_000:
                 self._known.clear()
             known = self._known[key] = self._search(token, main)
         return known
@@ -124,9 +128,11 @@ class LatticeReader:
     def _search(self, token: str, main: str) -> str:
         # a state is (character, script of the last letter seen); the text so far comes with its score
         states: dict[tuple[str, str], tuple[float, str]] = {("^", ""): (0.0, "")}
+        mixed = _mixed(token)
         for ch in token:
             new: dict[tuple[str, str], tuple[float, str]] = {}
-            for option in ch + READINGS.get(ch, ""):
+            # letters of a word in one alphabet stand for Latin ones or for themselves; in a mixed word also Latin letters may be meant for others
+            for option in ch + READINGS.get(ch, "") + (OTHERS.get(ch, "") if mixed else ""):
                 script = _SCRIPT.get(option)
                 script = _script(option) if script is None else script
                 foreign = OTHER if script and main and script != main else 0.0
@@ -141,14 +147,23 @@ class LatticeReader:
         return max((s + self._score(last, "$"), text) for (last, _), (s, text) in states.items())[1]
 
     def read(self, text: str) -> str:
-        if text.isascii() or not any(ch in READINGS for ch in text):
+        if text.isascii() or not any(ch in READINGS for ch in text) and not any(map(_mixed, _TOKEN.findall(text))):
             return text
-        # the alphabet of the letters that have one reading only
-        sure = Counter(_script(ch) for ch in text if ch.isalpha() and ch not in READINGS)
-        main = min(sure, key=lambda s: (-sure[s], s)) if sure else ""
+        letters = [ch for ch in text if ch.isalpha()]
+        # the alphabet of the letters that have one reading only; of all letters where there is none
+        sure = Counter(_script(ch) for ch in letters if ch not in READINGS and ch not in OTHERS) or Counter(map(_script, letters))
+        main = min(sure, key=lambda s: (-sure[s], s != "LATIN", s)) if sure else ""
         return _TOKEN.sub(lambda m: self.token(m.group(), main), text)
 
 
+def _mixed(token: str) -> bool:
+    """Whether a word holds letters of Latin and of an alphabet that is not mixed with it."""
+    if token.isascii():
+        return False
+    scripts = {_script(ch) for ch in token if ch.isalpha()}
+    return "LATIN" in scripts and not APART.isdisjoint(scripts)
+
+
 def _count_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         pairs: Counter[str] = Counter()
@@ -194,7 +209,8 @@ def canonical_text(df: DataFrame, text: str, out: str = "canonical", flag: str =
                     continue
                 p, touched = plain(t)
                 c = reader.read(p)
-                rows.append((c, touched or c != p))
+                # a word that still mixes alphabets holds a letter without a look-alike
+                rows.append((c, touched or c != p or any(map(_mixed, _TOKEN.findall(c)))))
             yield pd.DataFrame(rows, columns=["canonical", "affected"])
 
     kept = [c for c in df.columns if c not in (out, flag)]

@@ -116,6 +116,15 @@ def test_lookalikes(spark):
     assert {t for t in texts if got[t][1]} == set(texts) - {"Oakfield Bakery", "Caf\u00e9 Oak", "प्‍राकू Oak", "0akfie1d", "Кафе Москва"}
 
 
+def test_lookalikes_both_ways(spark):
+    texts = {"Москвa": "Москва", "Mосква": "Москва", "Ꭺpple": "Apple", "ꓮpple": "Apple", "Зum": "3um", "Москва": "Москва", "Αθήνα": "Αθήνα", "Aθήνα": "Αθήνα", "Кафе Mосква": "Кафе Москва", "Bar Москва": "Bar Москва"}
+    filler = ["Oakfield Bakery and Cafe Society", "Apple Bakery Oak Keller", "Кафе Москва сова", "Αθήνα κήπος"]
+    df = spark.createDataFrame([(t,) for t in [*texts, *(filler * 40)]], "n string")
+    got = {r["n"]: (r["canonical"], r["affected"]) for r in lookalike.canonical_text(df, "n").collect()}
+    assert {t: got[t][0] for t in texts} == texts
+    assert all(got[t][1] == (t != to) for t, to in texts.items())
+
+
 SENTENCES = ["Le gâteau aux pêches était déjà prêt, évidemment.", "Größere Übungen für die Kühlbox, schön leicht", "У меня задний тормоз снова почти новый", "मेरे यहाँ नया साइकिल बेकार निकला", "Don’t clamp it — “naïve” café… €5", "Não é fácil consertar a lâmpada sozinho, avião"]
 
 
