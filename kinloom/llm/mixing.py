@@ -1,16 +1,13 @@
 """Combine sources so that each has its target share of all tokens.
 
-Hierarchical budgeting: the total is handed down a tree of domain, source and language by weight; what a node can't hold goes to its
+Hierarchical budgeting: the total is handed down a tree of domain, language and source by weight; what a node can't hold goes to its
 siblings before it goes to its ancestors' siblings. Each leaf then takes whole epochs of its documents and a token prefix
 of one more, in an order seeded anew for each epoch.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass, field
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -20,48 +17,40 @@ from kinloom.session import bounded_broadcast, materialize
 SEED = 20240117
 #: Documents of a leaf that are ordered in one task at most, about.
 BUCKET_ROWS = 4_000
-#: The tree of leaves is made on the driver; more leaves than this is an error, not a silent cut.
-MOST_LEAVES = 1_000_000
-
-
-@dataclass
-class Node:
-    weight: float
-    capacity: float = 0.0
-    children: dict[str, Node] = field(default_factory=dict)
-    budget: float = 0.0
-
 
-def share_out(total: float, nodes: list[Node]) -> None:
-    """Budgets by weight, none above its node's capacity; a shortage is spread over the siblings by weight, again and again."""
-    open_nodes = [n for n in nodes if n.weight > 0 and n.capacity > 0]
-    for n in nodes:
-        n.budget = 0.0
-    left = min(total, sum(n.capacity for n in open_nodes))
-    while open_nodes and left > 1e-9:
-        per_weight = left / sum(n.weight for n in open_nodes)
-        full = [n for n in open_nodes if n.budget + per_weight * n.weight >= n.capacity - 1e-9]
-        if not full:
-            for n in open_nodes:
-                n.budget += per_weight * n.weight
-            return
-        for n in full:
-            left -= n.capacity - n.budget
-            n.budget = n.capacity
-        open_nodes = [n for n in open_nodes if n not in full]
 
+def share_out(nodes: DataFrame, parent: list[str], node: str, total: Column, weight: str, capacity: str, out: str) -> DataFrame:
+    """Add ``out``: the part of its parent's ``total`` that each node gets by weight, none above its capacity.
 
-def hand_down(node: Node) -> None:
-    """A node's budget to its leaves. Capacities are those of the subtrees, so a shortage below a node stays below it as far as it can."""
-    share_out(node.budget, list(node.children.values()))
-    for child in node.children.values():
-        hand_down(child)
-
-
-def _subtree_capacity(node: Node) -> float:
-    if node.children:
-        node.capacity = sum(map(_subtree_capacity, node.children.values()))
-    return node.capacity
+    What full nodes can't hold is spread over their open siblings by weight, again and again. Nodes fill up in the order of
+    capacity per weight, so the level of the open ones follows from running sums, without rounds. Every parent is a window of its
+    own, of as many rows as it has children. Nodes without weight or capacity get 0.
+    """
+    usable = (F.col(weight) > 0) & (F.col(capacity) > 0)
+    nodes = nodes.withColumns({"__w": F.when(usable, F.col(weight)).otherwise(0.0), "__c": F.when(usable, F.col(capacity)).otherwise(0.0)})
+    nodes = nodes.withColumns({"__r": F.when(usable, F.col("__c") / F.col("__w")), "__t": total.cast("double")})
+    own = Window.partitionBy(*parent)
+    order = own.orderBy(F.col("__r").asc_nulls_first(), node)
+    nodes = nodes.withColumns({
+        "__filled": F.coalesce(F.sum("__c").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)),
+        "__open": F.sum("__w").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing)),
+    })
+    # tokens per weight if this node and all after it are open
+    nodes = nodes.withColumn("__level", F.greatest(F.lit(0.0), F.col("__t") - F.col("__filled")) / F.col("__open"))
+    nodes = nodes.withColumn("__full", F.col("__r") <= F.col("__level"))
+    level = F.min(F.when(~F.col("__full"), F.struct("__r", node, "__level"))).over(own)["__level"]
+    nodes = nodes.withColumn(out, F.when(F.col("__r").isNull(), 0.0).when(F.col("__full"), F.col("__c")).otherwise(F.col("__w") * level))
+    return nodes.drop("__w", "__c", "__r", "__t", "__filled", "__open", "__level", "__full")
+
+
+def budgets(leaves: DataFrame, total: Column) -> DataFrame:
+    """Add ``budget`` to leaves ``domain, lang, source, weight, capacity``: ``total``, at most what all can hold, handed down the tree."""
+    everything = Window.partitionBy(F.lit(1))
+    domains = leaves.groupBy("domain").agg(F.sum("weight").alias("w"), F.sum("capacity").alias("c"))
+    domains = share_out(domains.withColumn("root", F.lit(1)), ["root"], "domain", F.least(total, F.sum("c").over(everything)), "w", "c", "of_domain")
+    langs = leaves.groupBy("domain", "lang").agg(F.sum("weight").alias("w"), F.sum("capacity").alias("c"))
+    langs = share_out(langs.join(domains.select("domain", "of_domain"), "domain"), ["domain"], "lang", F.col("of_domain"), "w", "c", "of_lang")
+    return share_out(leaves.join(langs.select("domain", "lang", "of_lang"), ["domain", "lang"]), ["domain", "lang"], "source", F.col("of_lang"), "weight", "capacity", "budget").drop("of_lang")
 
 
 def mix(
@@ -74,68 +63,54 @@ def mix(
     of the named sources once. Chosen: ``id_col, source, lang, n_tokens, times``. Report: ``source, target_share, max_repeats, available_tokens,
     budget_tokens, reached_tokens, reached_share, most_times``.
 
+    A leaf's weight is its source's target times the leaf's share of that source; its capacity is its tokens times the repeats.
+
     * Documents of a null source or one without target are not used; a source without documents is reported with 0. A null language is a
       language of its own. Null or empty texts hold no tokens and are not chosen. Rows repeated under one id are documents of their own.
     * A null share, negative share, null or non-positive repeats give the source nothing.
-    * A leaf misses its budget by at most half of one document. Ties in the seeded order are resolved by row.
-    * Empty tables give no documents and the targets with 0.
+    * A leaf misses its budget by at most half of one document. The seeded order is that of a hash of id and text, so a rerun chooses the
+      same documents however the rows are spread over files; of equal rows it does not matter which.
+    * Empty tables give no documents and the targets with 0. Any number of leaves is planned; nothing is collected.
     """
-    rows = with_token_counts(docs.select(F.col(id_col).alias("id"), F.col(text).alias("t"), F.col(source).cast("string").alias("source"), F.col(lang).cast("string").alias("lang"), (F.col(domain).cast("string") if domain else F.lit("all")).alias("domain")), "t", "n", tokenizer)
+    rows = with_token_counts(docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("t"), F.col(source).cast("string").alias("source"), F.col(lang).cast("string").alias("lang"), (F.col(domain).cast("string") if domain else F.lit("all")).alias("domain")), "t", "n", tokenizer)
     targets = targets.select(F.col("source").cast("string").alias("source"), F.col("target_share").cast("double"), F.col("max_repeats").cast("int")).where("source is not null").dropDuplicates(["source"])
-    rows = rows.drop("t").join(bounded_broadcast(targets.select("source"), 100_000), "source", "left_semi").where("n > 0")
-    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()).withColumn("lang", F.coalesce("lang", F.lit(""))).withColumn("domain", F.coalesce("domain", F.lit(""))), "mix-sizes")
-    leaves = rows.groupBy("domain", "source", "lang").agg(F.sum("n").alias("tokens"), F.count("*").alias("docs"))
-    wanted = {r["source"]: r for r in targets.collect()}
-    found = leaves.limit(MOST_LEAVES + 1).collect()
-    if len(found) > MOST_LEAVES:
-        raise ValueError("too many combinations of source and language")
-    # weights: of a source its target; of a language its share of the source; a source in several domains is split by its tokens
-    size: dict[str, int] = {}
-    for r in found:
-        size[r["source"]] = size.get(r["source"], 0) + r["tokens"]
-    root = Node(1.0)
-    for r in found:
-        w = wanted[r["source"]]
-        share = max(0.0, w["target_share"] or 0.0) * r["tokens"] / size[r["source"]]
-        d = root.children.setdefault(r["domain"], Node(0.0))
-        s = d.children.setdefault(r["source"], Node(0.0))
-        d.weight += share
-        s.weight += share
-        s.children[r["lang"]] = Node(float(r["tokens"]), float(r["tokens"] * max(0, w["max_repeats"] or 0)))
-    _subtree_capacity(root)
-    root.budget = min(root.capacity, float(sum(size.values())) if total_tokens is None else total_tokens)
-    hand_down(root)
-    plan = []
-    for r in found:
-        budget = root.children[r["domain"]].children[r["source"]].children[r["lang"]].budget
-        epochs = math.floor(budget / r["tokens"] + 1e-9)
-        plan.append((r["domain"], r["source"], r["lang"], epochs, max(0.0, budget - epochs * r["tokens"]), budget, max(1, math.ceil(r["docs"] / BUCKET_ROWS))))
-    spark = docs.sparkSession
-    plan_df = spark.createDataFrame(plan, "domain string, source string, lang string, epochs int, rest double, budget double, buckets int")
-    plan_df = F.broadcast(plan_df) if len(plan) <= 10_000 else plan_df
-    leaf = ["domain", "source", "lang"]
+    rows = rows.withColumn("text_hash", F.xxhash64("t")).drop("t").join(bounded_broadcast(targets.select("source"), 100_000), "source", "left_semi").where("n > 0")
+    rows = materialize(rows.withColumn("lang", F.coalesce("lang", F.lit(""))).withColumn("domain", F.coalesce("domain", F.lit(""))), "mix-sizes")
+    leaf = ["domain", "lang", "source"]
+    leaves = rows.groupBy(*leaf).agg(F.sum("n").cast("double").alias("tokens"), F.count("*").alias("docs")).join(targets, "source")
+    leaves = leaves.withColumns({
+        "weight": F.greatest(F.lit(0.0), F.coalesce("target_share", F.lit(0.0))) * F.col("tokens") / F.sum("tokens").over(Window.partitionBy("source")),
+        "capacity": F.col("tokens") * F.greatest(F.lit(0), F.coalesce("max_repeats", F.lit(0))),
+    }).drop("target_share", "max_repeats")
+    leaves = materialize(leaves, "mix-leaves")
+    if total_tokens is None:
+        total_tokens = float(leaves.agg(F.sum("tokens")).first()[0] or 0.0)
+    epochs = F.floor(F.col("budget") / F.col("tokens") + 1e-9).cast("int")
+    plan = budgets(leaves, F.lit(float(total_tokens))).withColumn("epochs", epochs)
+    plan = materialize(plan.select(*leaf, "epochs", F.greatest(F.lit(0.0), F.col("budget") - F.col("epochs") * F.col("tokens")).alias("rest"), "budget", F.greatest(F.lit(1), F.ceil(F.col("docs") / BUCKET_ROWS)).alias("buckets")), "mix-plan")
+    plan_df = bounded_broadcast(plan, 10_000)
     # the order of the last epoch: a seeded hash, cut into buckets of bounded size
-    ordered = rows.join(plan_df, leaf).withColumn("h", F.pmod(F.xxhash64(F.lit(seed), "epochs", "source", "lang", "row"), F.lit(2**48)))
+    ordered = rows.join(plan_df, leaf).withColumn("h", F.pmod(F.xxhash64(F.lit(seed), "epochs", "source", "lang", "id", "text_hash"), F.lit(2**48)))
     ordered = ordered.withColumn("bucket", F.floor(F.col("h") / F.lit(float(2**48)) * F.col("buckets")))
     sums = ordered.groupBy(*leaf, "bucket").agg(F.sum("n").alias("in_bucket"), F.max("rest").alias("rest"))
     before = F.sum("in_bucket").over(Window.partitionBy(*leaf).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     starts = sums.withColumn("start", F.coalesce(before, F.lit(0))).select(*leaf, "bucket", "start", "in_bucket")
     placed = ordered.join(starts, [*leaf, "bucket"])
-    inner = F.col("start") + F.coalesce(F.sum("n").over(Window.partitionBy(*leaf, "bucket").orderBy("h", "row").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inner = F.col("start") + F.coalesce(F.sum("n").over(Window.partitionBy(*leaf, "bucket").orderBy("h", "id", "text_hash").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     taken = placed.withColumn("in_prefix", (inner + F.col("n") / 2 <= F.col("rest") + 1e-6).cast("int"))
     chosen = taken.withColumn("times", F.col("epochs") + F.col("in_prefix")).where("times > 0")
     chosen = materialize(chosen.select(F.col("id").alias(id_col), "source", F.nullif("lang", F.lit("")).alias("lang"), F.col("n").alias("n_tokens"), "times", "domain"), "mixed")
     by_source = chosen.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("times")).alias("reached"), F.max("times").alias("most"))
-    budgets = plan_df.groupBy("source").agg(F.sum("budget").alias("budget"))
+    planned = plan.groupBy("source").agg(F.sum("budget").alias("budget"))
     available = rows.groupBy("source").agg(F.sum("n").alias("available"))
-    report = targets.join(by_source, "source", "left").join(budgets, "source", "left").join(available, "source", "left")
-    everything = F.sum(F.coalesce("reached", F.lit(0))).over(Window.partitionBy(F.lit(1)))
-    report = report.withColumn("all", everything).select(
+    report = targets.join(by_source, "source", "left").join(planned, "source", "left").join(available, "source", "left")
+    # one row
+    report = report.crossJoin(F.broadcast(by_source.agg(F.sum("reached").alias("all")))).select(
         "source", "target_share", "max_repeats",
         F.coalesce("available", F.lit(0)).alias("available_tokens"),
         F.round(F.coalesce("budget", F.lit(0.0)), 3).alias("budget_tokens"),
         F.coalesce("reached", F.lit(0)).alias("reached_tokens"),
-        F.round(F.coalesce("reached", F.lit(0)) / F.greatest("all", F.lit(1)), 6).alias("reached_share"),
+        F.round(F.coalesce("reached", F.lit(0)) / F.greatest(F.coalesce("all", F.lit(0)), F.lit(1)), 6).alias("reached_share"),
         F.coalesce("most", F.lit(0)).alias("most_times"),
     )
     return chosen.drop("domain"), report

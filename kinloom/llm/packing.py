@@ -1,7 +1,8 @@
 """Put texts into containers of fixed capacity with little unused room.
 
 Hierarchical residual packing: items are spread evenly over groups, each group packs its own by best fit, nearly full bins are
-final, and underfull bins go on as items to the next round with fewer groups, until one group holds what is left.
+final, and underfull bins go on as items to the next round with fewer groups, until one group holds what is left, nothing that is
+left fits anywhere, or a round has put no two of them together.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinloom.llm.tokens import TOKENIZER, with_token_counts
-from kinloom.session import materialize
+from kinloom.session import bounded_broadcast, materialize
 
 #: Items that one task packs at a time.
 GROUP_ITEMS = 20_000
@@ -58,12 +59,13 @@ def _packer(round_: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         prefix = f"{group['kind'].iloc[0]}-{round_}-{group['slot'].iloc[0]}-"
         group = group.assign(bin=[prefix + str(b) for b in bins])
         group["filled"] = group.groupby("bin")["size"].transform("sum")
-        return group[["kind", "capacity", "item", "size", "bin", "filled"]]
+        group["first"] = ~group["bin"].duplicated()
+        return group[["kind", "capacity", "item", "bin", "filled", "first"]]
 
     return pack
 
 
-_PACKED = "kind string, capacity long, item string, size long, bin string, filled long"
+_PACKED = "kind string, capacity long, item string, bin string, filled long, first boolean"
 
 
 def pack(
@@ -77,18 +79,20 @@ def pack(
     * Texts without tokens (null, empty) take no room and are in no container. Every other row of ``docs`` is packed once for each kind,
       rows repeated under one id too. Null ids are allowed.
     * Kinds with a null or non-positive capacity are not packed. Empty tables give an empty result.
-    * Ties are resolved by size and row, so a rerun over the same rows gives the same containers up to their names.
+    * Ties are resolved by size and a hash of id and text, so a rerun gives the same containers however the rows are spread over files.
     * A task never holds more than about ``group_items`` items; the number of rounds is logarithmic in the number of items.
     """
-    sized = with_token_counts(docs.select(F.col(id_col).alias("id"), F.col(text).alias("t")), "t", "n", tokenizer).where("n > 0").select("id", "n")
-    sized = materialize(sized.withColumn("row", F.monotonically_increasing_id()), "token-sizes")
+    sized = with_token_counts(docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("t")), "t", "n", tokenizer).where("n > 0")
+    # equal rows are told apart by a number; all else about a row is its own
+    sized = sized.select("id", "n", F.xxhash64("t").alias("h")).groupBy("id", "n", "h").agg(F.count("*").alias("copies"))
+    sized = sized.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    sized = materialize(sized.select("id", "n", F.concat_ws("-", F.hex(F.xxhash64("id", "h")), F.coalesce(F.col("id").cast("string"), F.lit("")), "copy").alias("row")), "token-sizes")
     kinds = kinds.select(F.col(kind_col).cast("string").alias("kind"), F.col(capacity_col).cast("long").alias("capacity")).where("kind is not null and capacity > 0").dropDuplicates(["kind"])
-    # a few kinds: a fixed table, and the product is what is asked for
+    # the product with the kinds of containers, of which there are few, is what is asked for
     parts = (
-        sized.crossJoin(F.broadcast(kinds))
+        sized.crossJoin(bounded_broadcast(kinds, 10_000))
         .withColumn("part", F.explode(F.expr("sequence(0L, (n - 1) div capacity)")))
-        .select("kind", "capacity", "id", "row", "part", (F.col("part") * F.col("capacity")).alias("token_from"), F.least("n", (F.col("part") + 1) * F.col("capacity")).alias("token_to"))
-        .withColumn("item", F.concat_ws("-", F.col("row").cast("string"), F.col("part").cast("string")))
+        .select("kind", "capacity", "id", "part", (F.col("part") * F.col("capacity")).alias("token_from"), F.least("n", (F.col("part") + 1) * F.col("capacity")).alias("token_to"), F.concat_ws("/", "row", "part").alias("item"))
     )
     parts = materialize(parts, "parts")
     items = parts.select("kind", "capacity", "item", (F.col("token_to") - F.col("token_from")).alias("size"))
@@ -102,13 +106,18 @@ def pack(
             items.withColumn("slot", F.pmod(F.xxhash64("item"), slots_of[F.col("kind")])).groupBy("kind", "slot").applyInPandas(_packer(round_), _PACKED), f"packed-{round_}"
         )
         levels.append(packed.select("item", "kind", "bin"))
-        # a kind goes on while it had several groups and merging made fewer bins
-        open_bins = packed.where(F.col("filled") < F.col("capacity") * (1 - slack)).select("kind", "capacity", F.col("bin").alias("item"), F.col("filled").alias("size")).distinct()
-        more = [k for k, n in slots.items() if n > 1]
-        items = materialize(open_bins.where(F.col("kind").isin(more)), f"open-{round_}") if more else open_bins.limit(0)
-        before, counts = counts, {r["kind"]: r["count"] for r in items.groupBy("kind").count().collect()} if more else {}
-        counts = {k: n for k, n in counts.items() if n < 0.95 * before[k]}
-        items = items.where(F.col("kind").isin(list(counts)))
+        # one row per bin; a kind goes on while it had several groups and a round put bins together
+        bins = packed.where("first").select("kind", "capacity", F.col("bin").alias("item"), F.col("filled").alias("size"))
+        room = F.col("capacity") - F.col("size")
+        unfilled = bins.where(room > F.col("capacity") * slack)
+        state = {r["kind"]: r for r in unfilled.groupBy("kind").agg(F.min("size").alias("least")).join(bins.groupBy("kind").agg(F.count("*").alias("made")), "kind").collect()}
+        going = {k: r["least"] for k, r in state.items() if slots[k] > 1 and r["made"] < counts[k]}
+        if not going:
+            break
+        # a bin with less room than the emptiest one fills can take none, nor go into another
+        least = F.create_map(*[F.lit(x) for kv in going.items() for x in kv])
+        items = materialize(unfilled.where(F.col("kind").isin(*going)).where(room >= least[F.col("kind")]), f"open-{round_}")
+        counts = {r["kind"]: r["count"] for r in items.groupBy("kind").count().collect()}
         round_ += 1
     if not levels:
         return parts.select(F.col("kind").alias("pack_kind"), "capacity", F.lit("").alias("bin_id"), F.col("id").alias(id_col), "part", "token_from", "token_to").limit(0)
