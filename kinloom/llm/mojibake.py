@@ -37,6 +37,8 @@ CHAINS = tuple(dict.fromkeys(CHAINS))
 NAMES = tuple("+".join(f"{true}>{wrong}" for wrong, true in chain) or "sound" for chain in CHAINS)
 #: For each chain, the chain of its first step alone.
 _FIRST = tuple(CHAINS.index(chain[:1]) for chain in CHAINS)
+#: Among the chains of a text with characters that no chain restores.
+DESTROYED = "lost"
 LOST = "�"
 _RUN = re.compile(r"[^\x00-\x7f]+")
 _MULTI = re.compile(rb"(?:[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3})+")
@@ -45,8 +47,13 @@ _C1 = re.compile("[\x80-\x84\x86-\x9f]")
 PRIOR = 0.04
 #: Weight of a chain of two steps against one of one step before anything is learned.
 TWICE = 0.05
-ROUNDS = 6
+#: Rounds of expectation-maximization end when no share moves by more than this; far fewer than the most are needed.
+SETTLED, ROUNDS = 1e-4, 50
 LEAST = 0.5
+#: A word is left for another chain, or as it is, where that is more likely by this logarithm.
+CLEARLY = 8.0
+#: Adjacent characters in the score model; of more, those seen most often are kept, and the others are scored by single characters.
+MOST_PAIRS = 2_000_000
 
 
 def first_shares() -> list[float]:
@@ -149,9 +156,9 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def pair_counts(df: DataFrame, text: str) -> dict[str, int]:
-    """Counts of adjacent characters over all texts: at most as many entries as pairs of letters in use."""
+    """Counts of adjacent characters over all texts: at most as many entries as pairs of letters in use, and at most ``MOST_PAIRS``."""
     counted = df.select(F.col(text).cast("string").alias("t")).where("t is not null").mapInPandas(_count, "pair string, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    return {r["pair"]: r["n"] for r in counted.collect()}
+    return {r["pair"]: r["n"] for r in counted.orderBy(F.desc("n"), "pair").limit(MOST_PAIRS).collect()}
 
 
 class LineJudge:
@@ -201,6 +208,15 @@ class LineJudge:
         return {k: g + gains.get(-k, 0.0) for k, g in gains.items() if k > 0}
 
 
+    def undone(self, word: str, chain: int) -> str:
+        """``word`` with ``chain`` undone, or as it is where another chain explains it far better."""
+        if word.isascii():
+            return word
+        gains = self.word(word)[1]
+        own = gains.get(chain, gains.get(-chain))
+        return word if own is None or max(0.0, *gains.values()) - own > CLEARLY else undo(word, chain)
+
+
 def _posterior(gains: dict[int, float], log_prior: list[float]) -> tuple[int, float]:
     """Chain with the highest posterior and the posterior that the line is garbled at all."""
     logs = {k: g + log_prior[k] - log_prior[0] for k, g in gains.items()}
@@ -246,7 +262,7 @@ def learn_priors(df: DataFrame, text: str, source: str, model) -> DataFrame:
     weak = lines.where(F.size("k") > 0)
     for _ in range(ROUNDS):
         weighted = (
-            weak.join(bounded_broadcast(prior, 100_000), "s")
+            weak.join(bounded_broadcast(prior.select("s", "prior"), 100_000), "s")
             .withColumn("w", F.expr("transform(arrays_zip(k, g), x -> x.g + ln(prior[x.k]) - ln(prior[0]))"))
             .withColumn("top", F.greatest(F.array_max("w"), F.lit(0.0)))
             .withColumn("w", F.expr("transform(w, x -> exp(x - top))"))
@@ -260,13 +276,17 @@ def learn_priors(df: DataFrame, text: str, source: str, model) -> DataFrame:
         # smoothed by one pseudo-line with the first shares: no chain ever gets a share of 0
         shares = F.expr(f"transform(sequence(1, {len(CHAINS) - 1}), k -> (coalesce(m[k], 0D) + start[k]) / (total + 1))")
         prior = materialize(
-            prior.drop("prior")
+            prior.withColumnRenamed("prior", "old")
             .join(weighted, "s", "left")
             .withColumn("start", F.array(*map(F.lit, start)))
             .withColumn("rest", shares)
-            .select("s", "total", F.concat(F.array(F.greatest(F.lit(0.01), 1 - F.expr("aggregate(rest, 0D, (a, x) -> a + x)"))), F.col("rest")).alias("prior")),
+            .select("s", "total", "old", F.concat(F.array(F.greatest(F.lit(0.01), 1 - F.expr("aggregate(rest, 0D, (a, x) -> a + x)"))), F.col("rest")).alias("prior"))
+            .withColumn("moved", F.array_max(F.zip_with("old", "prior", lambda x, y: F.abs(x - y))))
+            .drop("old"),
             "mojibake-prior",
         )
+        if (prior.agg(F.max("moved")).first()[0] or 0.0) <= SETTLED:
+            break
     return prior.select("s", "prior")
 
 
@@ -274,9 +294,10 @@ def repair(df: DataFrame, text: str, source: str, out: str = "repaired", flag: s
     """Add the restored text, whether any part of the text is garbled, and the chains found.
 
     ``flag`` is true where a line's posterior for some wrong chain is at least 0.5, or the text holds a replacement character
-    (U+FFFD) or a C1 control character: those can't be restored, but show the damage. Lines without damage stay as they are, byte
+    (U+FFFD) or a C1 control character: those can't be restored, but show the damage; their chain is named "lost". Lines without damage stay as they are, byte
     for byte.
 
+    * A repaired line is judged again until no chain wins: parts damaged in different ways, or more than twice, are restored in turn.
     * A null text gives null, false and no chains; an empty text is sound. A null source is a source of its own.
     * Texts of any length are read whole. Repeated rows give repeated results. An empty table gives an empty one.
     * Existing columns named like the three results are replaced.
@@ -302,14 +323,22 @@ def repair(df: DataFrame, text: str, source: str, out: str = "repaired", flag: s
                     log_prior = logs[key] = [math.log(x) for x in p]
                 lines, found = t.split("\n"), set()
                 for n, line in enumerate(lines):
-                    if line.isascii():
-                        continue
-                    best, garbled = _posterior(judge.line(line), log_prior)
-                    if garbled >= LEAST:
+                    # a line damaged in several ways, or more than twice, is judged again as repaired so far
+                    seen = {line}
+                    while not line.isascii():
+                        best, garbled = _posterior(judge.line(line), log_prior)
+                        if garbled < LEAST:
+                            break
                         found.add(NAMES[best])
-                        lines[n] = _SPACED.sub(lambda m: undo(m.group(), best), line)
-                lost = LOST in t or _C1.search(t) is not None
-                rows.append(("\n".join(lines) if found else t, bool(found) or lost, ", ".join(sorted(found))))
+                        line = _SPACED.sub(lambda m: judge.undone(m.group(), best), line)
+                        if line in seen:
+                            break
+                        seen.add(line)
+                    lines[n] = line
+                restored = "\n".join(lines) if found else t
+                if LOST in t or _C1.search(t):
+                    found.add(DESTROYED)
+                rows.append((restored, bool(found), ", ".join(sorted(found))))
             yield pd.DataFrame(rows, columns=["repaired", "garbled", "chains"])
 
     kept = [c for c in df.columns if c not in (out, flag, chains)]

@@ -165,6 +165,21 @@ def test_garbled_lines_are_found_and_restored(spark):
     assert sum(got[k]["repaired"] == want[k][0] for k in want) >= 0.99 * len(want)
 
 
+def test_lines_damaged_in_several_ways_or_thrice(spark):
+    rng = random.Random(8)
+    rows = [(k, rng.choice(SENTENCES), "forum") for k in range(400)]
+    french = SENTENCES[0]
+    thrice = french
+    for _ in range(3):
+        thrice = thrice.encode("utf-8").decode("latin-1")
+    mixed = french.encode("utf-8").decode("cp1252") + " " + SENTENCES[1].encode("utf-8").decode("mac_roman")
+    rows += [(500, thrice, "forum"), (501, mixed, "forum"), (502, "caf\ufffd noir", "forum")]
+    rows += [(600 + k, s.encode("utf-8").decode("latin-1"), "forum") for k, s in enumerate(SENTENCES[:4] * 5)]
+    got = {r["id"]: r for r in mojibake.repair(spark.createDataFrame(rows, "id long, t string, s string"), "t", "s").collect()}
+    assert got[500]["repaired"] == french and got[501]["repaired"] == french + " " + SENTENCES[1]
+    assert got[502]["chains"] == "lost" and got[502]["garbled"] and not any(got[k]["garbled"] for k in range(400))
+
+
 def test_packing_is_whole_and_tight(spark):
     rng = random.Random(5)
     docs = [(k, " ".join(rng.choice(["oak", "plank", "drill", "kiln"]) for _ in range(int(rng.paretovariate(1.1) * 8)))) for k in range(1500)]
