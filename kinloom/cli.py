@@ -13,7 +13,7 @@ from kinloom.config import PRESETS, Paths
 from kinloom.operators import blocking, diagnostics, validate
 from kinloom.plans import pipeline
 from kinloom.session import ship_package
-from kinloom.sources.files import explode_ground_truth, markdown_report, read_ground_truth, read_source, write_json
+from kinloom.sources.files import explode_ground_truth, markdown_report, read_ground_truth, read_source, write_json, write_text
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -79,9 +79,8 @@ def run(spark: SparkSession, args: argparse.Namespace, paths: Paths) -> int:
                 df = read_source(spark, path, args.max_rows)
                 sections[f"{split} {k}"] = {**df.transform(diagnostics.id_stats).first().asDict(), **{f"{r['country']}": str(r.asDict()) for r in diagnostics.source_stats(df).collect()}}
         sections["truth"] = diagnostics.truth_stats(read_ground_truth(spark, paths.ground_truth)).first().asDict()
-        write_json(sections, f"{paths.output}/eda_report.json")
-        with open(f"{paths.output}/eda_report.md", "w", encoding="utf-8") as f:
-            f.write(markdown_report("Sources", sections))
+        write_json(spark, sections, f"{paths.output}/eda_report.json")
+        write_text(spark, markdown_report("Sources", sections), f"{paths.output}/eda_report.md")
         out = {"written": f"{paths.output}/eda_report.json"}
     elif args.command == "tune-post":
         home = f"{paths.work}/model"

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass, field, replace
-from pathlib import Path
 
 SEED = 42
 KEY_TYPES = ("N", "P", "A", "U", "W", "C", "B", "M", "T")
@@ -23,11 +22,11 @@ class Paths:
     output: str = field(default_factory=lambda: os.environ.get("KINLOOM_OUTPUT_DIR", "output"))
 
     def sources(self, split: str) -> dict[str, str]:
-        return {f"s{n}": str(Path(self.data) / f"{split}_source{n}.tsv") for n in (1, 2, 3)}
+        return {f"s{n}": f"{self.data}/{split}_source{n}.tsv" for n in (1, 2, 3)}
 
     @property
     def ground_truth(self) -> str:
-        return str(Path(self.data) / "train_ground_truth.tsv")
+        return f"{self.data}/train_ground_truth.tsv"
 
 
 @dataclass(frozen=True)

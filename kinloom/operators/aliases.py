@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from kinloom.functions.text import rebuilt_from_core
-from kinloom.sources.files import read_json, write_json
 
 G = "source1_entity_id"
 
@@ -39,11 +38,12 @@ def apply_aliases(df: DataFrame, aliases: DataFrame) -> DataFrame:
 
 
 def save_aliases(aliases: DataFrame, path: str) -> None:
-    write_json({r["src"]: r["dst"] for r in aliases.select("src", "dst").collect()}, path)
+    """One JSON object per line, sorted by word; written by the executors, as the table grows with the data."""
+    aliases.select("src", "dst").orderBy("src").write.mode("overwrite").json(path)
 
 
-def load_aliases(spark, path: str) -> DataFrame:
-    return spark.createDataFrame(sorted(read_json(path).items()), "src string, dst string")
+def load_aliases(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("src string, dst string").json(path)
 
 
 def patch(old: DataFrame, new: DataFrame, key: str = "entity_id") -> DataFrame:

@@ -78,17 +78,41 @@ def fold(id_col: str, k: int, seed: int = 5) -> Column:
 
 
 def cross_validated(data: DataFrame, features: tuple[str, ...], k: int = 3, label: str = "y", group: str = G, params: Boosting = Boosting()) -> DataFrame:
-    """Out-of-fold probabilities ``p``; all rows of one group are in one fold. Where all groups fall in one fold, its model sees them all."""
+    """Out-of-fold probabilities ``p``; all rows of one group are in one fold, and no model sees the rows it scores.
+
+    A fold whose complement has no rows to learn from gets a null ``p`` (as where all rows belong to one group).
+    """
     data = data.withColumn("fold", fold(group, k))
     out = None
     for i in range(k):
-        rest = data.where(F.col("fold") != i)
-        model = train_classifier(data if rest.isEmpty() else rest, features, label, params=params)
-        part = predict(model, data.where(F.col("fold") == i))
+        rest, own = data.where(F.col("fold") != i), data.where(F.col("fold") == i)
+        if rest.select(label).distinct().limit(2).count() < 2:
+            part = own.withColumn("p", F.lit(None).cast("double"))
+        else:
+            part = predict(train_classifier(rest, features, label, params=params), own)
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def numeric_features(df: DataFrame, leave_out: tuple[str, ...] = ()) -> tuple[str, ...]:
+    """Columns of a numeric type, but for those named."""
+    kinds = ("tinyint", "smallint", "int", "bigint", "float", "double")
+    return tuple(c for c, kind in df.dtypes if (kind in kinds or kind.startswith("decimal")) and c not in leave_out)
+
+
+def adversary(valid: DataFrame, test: DataFrame, features: tuple[str, ...] | None = None, k: int = 3, group: str = G, params: Boosting = Boosting()) -> tuple[DataFrame, PipelineModel]:
+    """How well validation and test pairs can be told apart: (their out-of-fold probabilities to be of the test, the model on all of them).
+
+    An AUC of a half means no shift. ``features``: by default all numeric columns that both tables have. The label is ``is_test``.
+    """
+    if features is None:
+        features = tuple(c for c in numeric_features(valid, ("y", "p")) if c in numeric_features(test))
+    # the same record may be on both sides; a group is a record of one side
+    both = valid.select(group, *features).withColumn("is_test", F.lit(0)).unionByName(test.select(group, *features).withColumn("is_test", F.lit(1)))
+    both = both.withColumn("side_group", F.concat_ws("|", "is_test", group))
+    return cross_validated(both, features, k, "is_test", "side_group", params).select(group, "is_test", "p"), train_classifier(both, features, "is_test", params=params)
+
+
 def auc(scored: DataFrame, label: str = "y", p: str = "p") -> float:
     return BinaryClassificationEvaluator(rawPredictionCol=p, labelCol=label).evaluate(scored.withColumn(label, F.col(label).cast("double")))
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import asdict, dataclass, field, replace
-from pathlib import Path
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from kinloom.config import PRESETS, SEED, Paths
 from kinloom.functions.text import add_views
 from kinloom.operators import aliases, blocking, decision, diagnostics, features, model, rules, siblings, validate
-from kinloom.sources.files import cached_stage, explode_ground_truth, read_ground_truth, read_json, read_source, write_id_lists, write_json
+from kinloom.sources.files import cached_stage, exists, explode_ground_truth, read_ground_truth, read_json, read_source, write_id_lists, write_json
 
 G = "source1_entity_id"
 RAW = ("entity_id", "business_name", "business_address", "country")
@@ -71,7 +70,7 @@ def train(spark: SparkSession, paths: Paths, options: TrainOptions = TrainOption
     truth = read_ground_truth(spark, paths.ground_truth)
     pairs = explode_ground_truth(truth)
     alias_path = f"{home}/aliases.json"
-    if options.force or not Path(alias_path).exists():
+    if options.force or not exists(spark, f"{alias_path}/_SUCCESS"):
         aliases.save_aliases(aliases.learn_aliases(clean, pool, pairs), alias_path)
     known = aliases.load_aliases(spark, alias_path)
     clean, pool = aliases.apply_aliases(clean, known), aliases.apply_aliases(pool, known)
@@ -102,15 +101,15 @@ def train(spark: SparkSession, paths: Paths, options: TrainOptions = TrainOption
         "blocking": recall, "preset": options.preset, "decision": {k: v for k, v in best.items() if k != "rank" and v is not None}, "valid_auc": round(model.auc(scored), 6),
         "importance": model.importance(fitted, features.FEATURES), "n_valid": valid_truth.count(),
     }
-    write_json(report, f"{home}/report.json")
-    write_json({"decision": report["decision"], "preset": options.preset, "features": list(features.FEATURES), "boosting": asdict(options.boosting)}, f"{home}/params.json")
+    write_json(spark, report, f"{home}/report.json")
+    write_json(spark, {"decision": report["decision"], "preset": options.preset, "features": list(features.FEATURES), "boosting": asdict(options.boosting)}, f"{home}/params.json")
     return report
 
 
 def predict(spark: SparkSession, paths: Paths, options: PredictOptions = PredictOptions()) -> dict:
     """Score the test split, apply the rules in order (blend, numbers, exclusivity, thresholds, no-match), check and write the results."""
     home = f"{paths.work}/model"
-    params = read_json(f"{home}/params.json")
+    params = read_json(spark, f"{home}/params.json")
     cfg = PRESETS[params["preset"]]
     clean, pool = load(spark, paths, "test")
     known = aliases.load_aliases(spark, f"{home}/aliases.json")
@@ -224,7 +223,7 @@ def stage2_fit(spark: SparkSession, paths: Paths, k: int = 5, params: model.Boos
     final = model.train_classifier(data, STAGE2_FEATURES, params=replace(params, rounds=int(params.rounds * 1.1)))
     final.write().overwrite().save(f"{home}/stage2_model")
     report = {"f05": round(f, 5), "post": post, "tau": tau, "importance": model.importance(final, STAGE2_FEATURES)}
-    write_json(report, f"{home}/stage2_report.json")
+    write_json(spark, report, f"{home}/stage2_report.json")
     return report
 
 

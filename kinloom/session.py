@@ -76,12 +76,12 @@ def application_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = f"{shared_dir(spark)}/kinloom-{sc.applicationId}"
     if getattr(sc, "_kinloom_root", None) != root:
-        _hadoop_path(spark, root)[0].deleteOnExit(_hadoop_path(spark, root)[1])
+        hadoop_path(spark, root)[0].deleteOnExit(hadoop_path(spark, root)[1])
         sc._kinloom_root = root
     return root
 
 
-def _hadoop_path(spark: SparkSession, path: str) -> tuple:
+def hadoop_path(spark: SparkSession, path: str) -> tuple:
     """(file system, path) of Hadoop for a path on any file system."""
     sc = spark.sparkContext
     p = sc._jvm.org.apache.hadoop.fs.Path(path)
@@ -92,7 +92,7 @@ def release(*tables: DataFrame) -> None:
     """Remove materialized tables that nothing will read again."""
     for df in tables:
         if path := getattr(df, "_kinloom_path", None):
-            fs, p = _hadoop_path(df.sparkSession, path)
+            fs, p = hadoop_path(df.sparkSession, path)
             fs.delete(p, True)
 
 

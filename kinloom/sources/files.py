@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinloom.session import hadoop_path
+
 SOURCE_COLUMNS = ("entity_id", "business_name", "business_address", "country")
 TRUTH_COLUMNS = ("source1_entity_id", "matched_entity_ids")
 
@@ -72,13 +73,27 @@ def write_examples(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("sep", "\t").option("header", True).csv(path)
 
 
-def write_json(value: dict, path: str) -> None:
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(value, ensure_ascii=False, indent=1, sort_keys=True), encoding="utf-8")
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """A small file on whatever file system the path names, the same one that the tables go to."""
+    fs, p = hadoop_path(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def write_json(spark: SparkSession, value: dict, path: str) -> None:
+    write_text(spark, json.dumps(value, ensure_ascii=False, indent=1, sort_keys=True), path)
+
+
+def read_json(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
-def read_json(path: str) -> dict:
-    return json.loads(Path(path).read_text(encoding="utf-8"))
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop_path(spark, path)
+    return fs.exists(p)
 
 
 def markdown_report(title: str, sections: dict[str, dict]) -> str:
@@ -90,8 +105,6 @@ def markdown_report(title: str, sections: dict[str, dict]) -> str:
 
 def cached_stage(spark: SparkSession, path: str, make: Callable[[], DataFrame], force: bool = False) -> DataFrame:
     """The Parquet table at ``path``, made first if it is missing or ``force`` is set. Reading it back cuts the lineage."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    if force or not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+    if force or not exists(spark, f"{path}/_SUCCESS"):
         make().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
