@@ -86,6 +86,17 @@ def f05_macro(pred: DataFrame, truth: DataFrame) -> float:
     return f05_per_entity(pred, truth).agg(F.avg("f05")).first()[0]
 
 
+def macro_by(chosen: DataFrame, truth: DataFrame, settings: DataFrame, key: str) -> DataFrame:
+    """``key, f05``: macro F0.5 of the pairs that each of a few ``settings`` chooses (``key, source1_entity_id, cand_id``). One job for all."""
+    hits = chosen.join(truth.select(G, F.explode("matched").alias("cand_id")).withColumn("ok", F.lit(1)), [G, "cand_id"], "left")
+    hits = hits.groupBy(key, G).agg(F.count("*").alias("n_pred"), F.count("ok").alias("tp"))
+    per = truth.select(G, F.size("matched").alias("n_true")).crossJoin(F.broadcast(settings)).join(hits, [key, G], "left")
+    n_pred, tp = F.coalesce("n_pred", F.lit(0)).cast("double"), F.coalesce("tp", F.lit(0)).cast("double")
+    pr, rc = tp / F.greatest(n_pred, F.lit(1.0)), tp / F.greatest("n_true", F.lit(1))
+    f = F.when((F.col("n_true") == 0) & (n_pred == 0), 1.0).when((F.col("n_true") == 0) | (n_pred == 0) | (tp == 0), 0.0).otherwise(1.25 * pr * rc / (0.25 * pr + rc))
+    return per.withColumn("f", f).groupBy(key).agg(F.avg("f").alias("f05"))
+
+
 def tune_decision(scored: DataFrame, truth: DataFrame) -> DataFrame:
     """Macro F0.5 of every rule of the grid, best first: ``rank, rule, tau, min_p, alpha, f05``. One job for the whole grid.
 
@@ -103,11 +114,5 @@ def tune_decision(scored: DataFrame, truth: DataFrame) -> DataFrame:
     d = d.withColumn("best", F.max(allowed).over(Window.partitionBy("g", G)))
     expected = d.where((F.col("best.ek") > F.col("e0")) & (F.col("k") <= -F.col("best.nk"))).select("g", G, "cand_id")
     chosen = simple.unionByName(expected)
-    hits = chosen.join(truth.select(G, F.explode("matched").alias("cand_id")).withColumn("ok", F.lit(1)), [G, "cand_id"], "left")
-    hits = hits.groupBy("g", G).agg(F.count("*").alias("n_pred"), F.count("ok").alias("tp"))
-    per = truth.select(G, F.size("matched").alias("n_true")).crossJoin(grid_df.select("g")).join(hits, ["g", G], "left")
-    n_pred, tp = F.coalesce("n_pred", F.lit(0)).cast("double"), F.coalesce("tp", F.lit(0)).cast("double")
-    pr, rc = tp / F.greatest(n_pred, F.lit(1.0)), tp / F.greatest("n_true", F.lit(1))
-    f = F.when((F.col("n_true") == 0) & (n_pred == 0), 1.0).when((F.col("n_true") == 0) | (n_pred == 0) | (tp == 0), 0.0).otherwise(1.25 * pr * rc / (0.25 * pr + rc))
-    result = per.withColumn("f", f).groupBy("g").agg(F.round(F.avg("f"), 9).alias("f05")).join(grid_df, "g")
+    result = macro_by(chosen, truth, grid_df.select("g"), "g").withColumn("f05", F.round("f05", 9)).join(grid_df, "g")
     return result.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("f05"), "g"))).select("rank", "rule", "tau", "min_p", "alpha", "f05")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from kinloom.functions.similarity import similarity
+from kinloom.operators.skew import spread_rank
+from kinloom.session import materialize
 
 G = "source1_entity_id"
 #: The features in order.
@@ -169,20 +170,28 @@ def similarity_features(df: DataFrame) -> DataFrame:
 
 
 def group_features(df: DataFrame) -> DataFrame:
-    """Features of a candidate among all candidates of its clean record; all windows share one partitioning by that record."""
-    g = Window.partitionBy(G)
-    everyone = F.count("*").over(g).cast("double")
-    support = F.sum(F.col("__kl_has1").cast("double")).over(g) - F.col("__kl_has1").cast("double")
-    return df.withColumns({
-        "n_cands": everyone,
-        "bscore_gap": F.max("bscore").over(g) - F.col("bscore"),
-        "name_tset_gap": F.max("name_tset").over(g) - F.col("name_tset"),
-        "addr_tset_gap": F.max("addr_tset").over(g) - F.col("addr_tset"),
-        "grp_s1num_support": support,
-        "rank_in_src": F.row_number().over(Window.partitionBy(G, "source").orderBy(F.desc("bscore"), "cand_id")).cast("double"),
-        "grp_same_num": F.when(F.col("__kl_first2") != "", F.count("*").over(Window.partitionBy(G, "__kl_first2")) - 1).otherwise(0).cast("double"),
-        "grp_same_concat": (F.count("*").over(Window.partitionBy(G, "name_concat_2")) - 1).cast("double"),
-    }).withColumn("grp_num_minority", _flag(~F.col("__kl_has1") & F.col("__kl_first1").isNotNull() & (F.col("grp_s1num_support") > 0)))
+    """Features of a candidate among all candidates of its clean record.
+
+    What concerns a whole record is aggregated, combined before the shuffle, and joined back; no record with very many candidates is one
+    task's work. Needs ``source, bscore, name_tset, addr_tset, name_concat_2`` and what ``overlap_features`` notes of numbers.
+    """
+    number, name = ["__kl_first2"], ["name_concat_2"]
+    has1 = F.col("__kl_has1").cast("double")
+    whole = df.groupBy(G).agg(F.count("*").cast("double").alias("n_cands"), F.max("bscore").alias("__kl_b"), F.max("name_tset").alias("__kl_nt"), F.max("addr_tset").alias("__kl_at"), F.sum(has1).alias("__kl_s"))
+    by_number = df.where("__kl_first2 <> ''").groupBy(G, *number).agg((F.count("*") - 1).cast("double").alias("__kl_num"))
+    by_name = df.groupBy(G, *name).agg((F.count("*") - 1).cast("double").alias("grp_same_concat"))
+    df = spread_rank(df, [G, "source"], "bscore", "cand_id", "rank_in_src")
+    df = df.join(whole, G).join(by_number, [G, *number], "left").join(by_name, [G, *name])
+    df = df.withColumns({
+        "bscore_gap": F.col("__kl_b") - F.col("bscore"),
+        "name_tset_gap": F.col("__kl_nt") - F.col("name_tset"),
+        "addr_tset_gap": F.col("__kl_at") - F.col("addr_tset"),
+        "grp_s1num_support": F.col("__kl_s") - has1,
+        "rank_in_src": F.col("rank_in_src").cast("double"),
+        "grp_same_num": F.coalesce("__kl_num", F.lit(0.0)),
+    })
+    minority = ~F.col("__kl_has1") & F.col("__kl_first1").isNotNull() & (F.col("grp_s1num_support") > 0)
+    return df.withColumn("grp_num_minority", _flag(minority)).drop("__kl_b", "__kl_nt", "__kl_at", "__kl_s", "__kl_num")
 
 
 def compute_features(pairs: DataFrame, clean: DataFrame, pool: DataFrame, idf: DataFrame) -> DataFrame:
@@ -200,5 +209,6 @@ def compute_features(pairs: DataFrame, clean: DataFrame, pool: DataFrame, idf: D
         "cand_name_freq": F.log10(F.col("name_freq_2").cast("double") + 1),
         "addr_empty_amb": _flag(F.col("addr_empty_2") & (F.col("name_freq_1") > 1)),
     })
-    df = group_features(idf_features(overlap_features(similarity_features(df))))
+    # the string kernels are the costly part, and the group features read the pairs several times
+    df = group_features(materialize(idf_features(overlap_features(similarity_features(df))), "pair-features"))
     return df.select(G, "cand_id", "source", "country", *(F.col(f).cast("double").alias(f) for f in FEATURES))

@@ -10,6 +10,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def heavy_counts(df: DataFrame, key: str, share: float) -> tuple[list[tuple], int]:
@@ -79,3 +80,22 @@ def balanced_group_stats(df: DataFrame, key: str, id_col: str, time_col: str, sh
 def salted(key: Column, heavy_flag: Column, spread: Column, salts: int) -> Column:
     """A salt in ``0..salts-1`` taken from ``spread`` for rows of heavy keys, 0 for all others."""
     return F.when(heavy_flag, F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(0)).cast("int")
+
+
+def spread_rank(df: DataFrame, group: list[str], score: str, tie: str, out: str, pieces: int = 64) -> DataFrame:
+    """Add ``out``: the rank (from 1) within ``group`` by ``score``, highest first and nulls last, then by ``tie``.
+
+    A hot group isn't ordered in one task: scores are cut at quantiles of the whole column, each piece of a group is ordered by itself, and the sizes of
+    the pieces before it, at most ``pieces`` rows per group, are added. Where the cuts lie does not change the result. Only rows
+    of one group with one score must be ordered together.
+    """
+    cuts = df.agg(F.percentile_approx(F.col(score).cast("double"), [k / pieces for k in range(1, pieces)], 1000).alias("q")).first()["q"] or []
+    above = sum(((F.lit(float(c)) > F.col(score)).cast("int") for c in sorted(set(cuts))), F.lit(0))
+    df = df.withColumn("__kl_piece", F.when(F.col(score).isNull(), len(cuts) + 1).otherwise(above))
+    sizes = df.groupBy(*group, "__kl_piece").agg(F.count("*").alias("__kl_n"))
+    before = F.sum("__kl_n").over(Window.partitionBy(*group).orderBy("__kl_piece").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select(*(F.col(c).alias(f"__kl_{c}") for c in group), F.col("__kl_piece").alias("__kl_p"), F.coalesce(before, F.lit(0)).alias("__kl_before"))
+    same = [df[c].eqNullSafe(sizes[f"__kl_{c}"]) for c in group] + [df["__kl_piece"] == sizes["__kl_p"]]
+    placed = df.join(sizes, same)
+    rank = F.row_number().over(Window.partitionBy(*group, "__kl_piece").orderBy(F.desc_nulls_last(score), tie))
+    return placed.withColumn(out, (F.col("__kl_before") + rank).cast("int")).select(*df.drop("__kl_piece").columns, out)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from kinloom.functions.similarity import similarity
+from kinloom.operators.skew import spread_rank
 
 G = "source1_entity_id"
 P_FLOOR, ANCHOR_P = 0.01, 0.9
@@ -18,30 +18,35 @@ STAGE2_FEATURES = (
 )
 
 
-def _second(order, rank: str):
-    """p of rank 1 for rows below it, p of rank 2 for the row of rank 1."""
-    over = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    top, second = F.nth_value("p1", 1).over(over), F.nth_value("p1", 2).over(over)
-    return F.coalesce(F.when(F.col(rank) == 1, second).otherwise(top), F.lit(0.0))
+def _two_best(d: DataFrame, key: str) -> DataFrame:
+    """``key`` with its number of rows, sum and anchors, its best p and the second best (0 if there is none), combined before the shuffle."""
+    # equal values of p are one: where the best occurs twice, it is also the second best
+    per = d.groupBy(key, "p1").agg(F.count("*").alias("n"))
+    best = per.groupBy(key).agg(F.sum("n").alias("rows"), F.max(F.struct("p1", "n")).alias("top"), F.sum(F.col("p1") * F.col("n")).alias("total"), F.sum(F.when(F.col("p1") >= ANCHOR_P, F.col("n")).otherwise(0)).alias("anchors"))
+    below = per.join(best.select(key, F.col("top.p1").alias("m")), key).where("p1 < m").groupBy(key).agg(F.max("p1").alias("next"))
+    second = F.when(F.col("top.n") > 1, F.col("top.p1")).otherwise(F.coalesce("next", F.lit(0.0)))
+    return best.join(below, key, "left").select(key, "rows", F.col("top.p1").alias("first"), second.alias("second"), "total", "anchors")
 
 
 def claim_features(scored: DataFrame) -> DataFrame:
     """Features over all claimants of a candidate and all candidates of a clean record; pairs below the floor do not count."""
     d = scored.where(F.col("p") >= P_FLOOR).select(G, "cand_id", F.col("p").alias("p1"))
-    cand, grp = Window.partitionBy("cand_id"), Window.partitionBy(G)
-    by_cand, by_grp = cand.orderBy(F.desc("p1"), G), grp.orderBy(F.desc("p1"), "cand_id")
-    d = d.withColumns({"cr": F.row_number().over(by_cand), "n_s1_claims": F.count("*").over(cand).cast("double")})
-    d = d.withColumns({"is_best_s1": (F.col("cr") == 1).cast("double"), "p_best_other_s1": _second(by_cand, "cr")})
-    anchor = (F.col("p1") >= ANCHOR_P).cast("double")
-    d = d.withColumns({
-        "p_rank": F.row_number().over(by_grp).cast("double"),
-        "grp_n": F.count("*").over(grp).cast("double"),
-        "n_anchor_other": F.sum(anchor).over(grp) - anchor,
-        "p_sum_other": F.sum("p1").over(grp) - F.col("p1"),
-        "p_gap_top": F.max("p1").over(grp) - F.col("p1"),
-    })
-    # the best of the others: that of rank 2 for the first row, and for rows tied with it the same value
-    return d.withColumn("p_max_other", _second(by_grp, "p_rank")).drop("cr")
+    cand, grp = _two_best(d, "cand_id"), _two_best(d, G)
+    owner = d.join(cand.select("cand_id", F.col("first").alias("m")), "cand_id").where("p1 = m").groupBy("cand_id").agg(F.min(G).alias("__kl_owner"))
+    c = cand.join(owner, "cand_id").select("cand_id", F.col("rows").cast("double").alias("n_s1_claims"), F.col("first").alias("__kl_cf"), F.col("second").alias("__kl_cs"), "__kl_owner")
+    g = grp.select(G, F.col("rows").cast("double").alias("grp_n"), F.col("first").alias("__kl_gf"), F.col("second").alias("__kl_gs"), "total", "anchors")
+    d = spread_rank(d, [G], "p1", "cand_id", "p_rank").join(c, "cand_id").join(g, G)
+    mine, anchor = F.col("__kl_owner") == F.col(G), (F.col("p1") >= ANCHOR_P).cast("double")
+    return d.withColumns({
+        "p_rank": F.col("p_rank").cast("double"),
+        "is_best_s1": mine.cast("double"),
+        "p_best_other_s1": F.when(mine, F.col("__kl_cs")).otherwise(F.col("__kl_cf")),
+        "n_anchor_other": F.col("anchors") - anchor,
+        "p_sum_other": F.col("total") - F.col("p1"),
+        "p_gap_top": F.col("__kl_gf") - F.col("p1"),
+        # the best of the others: the second best for the best, and for rows tied with it the same value
+        "p_max_other": F.when(F.col("p1") == F.col("__kl_gf"), F.col("__kl_gs")).otherwise(F.col("__kl_gf")),
+    }).drop("__kl_owner", "__kl_cf", "__kl_cs", "__kl_gf", "__kl_gs", "total", "anchors")
 
 
 def number_and_cluster_features(d: DataFrame, clean: DataFrame, pool: DataFrame) -> DataFrame:
@@ -59,17 +64,18 @@ def number_and_cluster_features(d: DataFrame, clean: DataFrame, pool: DataFrame)
         "cand_addr_empty": F.coalesce("c_empty", F.lit(True)).cast("double"),
         "first2": F.coalesce(F.get("n2", F.lit(0)), F.lit("")),
     })
-    num, name = Window.partitionBy(G, "first2"), Window.partitionBy(G, "c_concat")
-
-    def others(w):
-        return F.count("*").over(w) - 1, (F.sum("p1").over(w) - F.col("p1")) / F.greatest(F.count("*").over(w) - 1, F.lit(1))
+    def others(key: str, to: str) -> DataFrame:
+        return d.groupBy(G, key).agg(F.count("*").alias(f"__kl_{to}_n"), F.sum("p1").alias(f"__kl_{to}_p"))
 
-    (num_n, num_mean), (name_n, name_mean) = others(num), others(name)
+    d = d.withColumn("c_concat", F.coalesce("c_concat", F.lit("")))
+    d = d.join(others("first2", "num"), [G, "first2"]).join(others("c_concat", "name"), [G, "c_concat"])
+    number = lambda to: F.col(f"__kl_{to}_n") - 1
+    mean = lambda to: (F.col(f"__kl_{to}_p") - F.col("p1")) / F.greatest(number(to), F.lit(1))
     known = F.col("first2") != ""
     return d.withColumns({
-        "cl_num_n": F.when(known, num_n).otherwise(0).cast("double"), "cl_num_pmean": F.when(known, num_mean).otherwise(0.0),
-        "cl_name_n": name_n.cast("double"), "cl_name_pmean": name_mean,
-    }).drop("first2")
+        "cl_num_n": F.when(known, number("num")).otherwise(0).cast("double"), "cl_num_pmean": F.when(known, mean("num")).otherwise(0.0),
+        "cl_name_n": number("name").cast("double"), "cl_name_pmean": mean("name"),
+    }).drop("first2", "__kl_num_n", "__kl_num_p", "__kl_name_n", "__kl_name_p")
 
 
 def anchor_features(d: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.ml import PipelineModel
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from kinloom.config import PRESETS, SEED, Paths
 from kinloom.functions.text import add_views
 from kinloom.operators import aliases, blocking, decision, diagnostics, features, model, rules, siblings, validate
+from kinloom.session import materialize
 from kinloom.sources.files import cached_stage, exists, explode_ground_truth, read_ground_truth, read_json, read_source, write_id_lists, write_json
 
 G = "source1_entity_id"
@@ -173,34 +175,65 @@ def patched(spark: SparkSession, paths: Paths, strip_prefix: tuple[str, ...], sp
     return aliases.patch(clean, new_clean), aliases.patch(pool, new_pool), aliases.affected_clean(cands, new_clean, new_pool)
 
 
+def rescore_patched(spark: SparkSession, paths: Paths, strip_prefix: tuple[str, ...], split: str = "test") -> DataFrame:
+    """Scores after a patch of names: the candidates of the affected clean records are scored again with the patched views, all other scores kept.
+
+    All pairs of an affected record are scored anew, as their features look at each other. Written as ``work/model/<split>_scored_patched``.
+    """
+    home = f"{paths.work}/model"
+    clean, pool, affected = patched(spark, paths, strip_prefix, split)
+    known = aliases.load_aliases(spark, f"{home}/aliases.json")
+    clean, pool = (features.add_name_freq(aliases.apply_aliases(df, known)) for df in (clean, pool))
+    cands = spark.read.parquet(f"{home}/{split}_cands").join(affected, G, "left_semi")
+    anew = features.compute_features(cands, clean, pool, features.token_idf(clean, pool))
+    anew = model.predict(PipelineModel.load(f"{home}/model"), anew).select(G, "cand_id", "country", "p")
+    old = spark.read.parquet(f"{home}/{split}_scored").join(affected, G, "left_anti")
+    return cached_stage(spark, f"{home}/{split}_scored_patched", lambda: old.select(*anew.columns).unionByName(anew), True)
+
+
+def _owned(scored: DataFrame, key: str) -> DataFrame:
+    """Of the pairs of each setting, each candidate only for the clean record with its highest p (ties: the smaller id)."""
+    owner = scored.groupBy(key, "cand_id").agg(F.min(F.struct((-F.col("p")).alias("np"), F.col(G).alias(G))).alias("o"))
+    return owner.select(key, F.col(f"o.{G}").alias(G), "cand_id", (-F.col("o.np")).alias("p"))
+
+
 def tune_post(scored: DataFrame, clean: DataFrame, pool: DataFrame, truth: DataFrame, tau: float) -> list[dict]:
-    """Per variant of the number rules: macro F0.5 at the threshold and the pairs it removes, true and false ones."""
+    """Per variant of the number rules: macro F0.5 at the threshold and the pairs it removes, true and false ones. Two jobs for all variants."""
     numbers = rules.numbers_frame(clean, G, "nums1"), rules.numbers_frame(pool, "cand_id", "nums2")
-    ids = truth.select(G)
-    out = []
-    for variant in rules.VARIANTS:
-        ruled = rules.apply_post(scored, *numbers, variant)
-        f = decision.f05_macro(decision.to_lists(decision.choose_by_threshold(ruled.select(G, "cand_id", "p"), tau), ids), truth)
-        gone = scored.where(F.col("p") >= tau).join(ruled.where(F.col("p") >= tau).select(G, "cand_id"), [G, "cand_id"], "left_anti").groupBy().agg(F.coalesce(F.sum("y"), F.lit(0)).alias("t"), F.count("*").alias("n")).first()
-        out.append({"variant": variant, "f05": round(f, 5), "removed_true": int(gone["t"]), "removed_false": int(gone["n"] - gone["t"])})
+    flagged = materialize(rules.number_flags(scored, *numbers), "number-flags")
+    ruled = functools.reduce(DataFrame.unionByName, (rules.ruled(flagged, v).select(F.lit(v).alias("variant"), G, "cand_id", "p", "y") for v in rules.VARIANTS))
+    ruled = materialize(ruled, "ruled")
+    settings = scored.sparkSession.createDataFrame([(v,) for v in rules.VARIANTS], "variant string")
+    f05 = {r["variant"]: r["f05"] for r in decision.macro_by(_owned(ruled, "variant").where(F.col("p") >= tau), truth, settings, "variant").collect()}
+    gone = scored.where(F.col("p") >= tau).select(G, "cand_id").join(ruled.where(F.col("p") < tau), [G, "cand_id"]).groupBy("variant").agg(F.sum("y").alias("t"), F.count("*").alias("n"))
+    removed = {r["variant"]: r for r in gone.collect()}
+    out = [{"variant": v, "f05": round(f05[v], 5), "removed_true": int(removed[v]["t"]) if v in removed else 0, "removed_false": int(removed[v]["n"] - removed[v]["t"]) if v in removed else 0} for v in rules.VARIANTS]
     return sorted(out, key=lambda r: -r["f05"])
 
 
 def eval_blend(scored: DataFrame, other: DataFrame, clean: DataFrame, pool: DataFrame, truth: DataFrame, weights=(0.0, 0.25, 0.5, 0.75, 1.0), posts=("none", "conflict_p90"), taus=decision.TAUS) -> list[dict]:
-    """Macro F0.5 over weights of the second model, number rules, joint probability and thresholds."""
+    """Macro F0.5 over weights of the second model, number rules, joint probability and thresholds: one job for the whole grid."""
     numbers = rules.numbers_frame(clean, G, "nums1"), rules.numbers_frame(pool, "cand_id", "nums2")
-    ids = truth.select(G)
-    out = []
+    named: dict[str, tuple] = {}
+    parts = []
     for w in weights:
         mixed = rules.blend(scored, [other], [1 - w, w])
         for post in posts:
             ruled = rules.apply_post(mixed, *numbers, post)
             for joint in (False, True):
-                final = (rules.joint_probability(ruled) if joint else ruled).select(G, "cand_id", "p")
-                for tau in taus:
-                    f = decision.f05_macro(decision.to_lists(decision.choose_by_threshold(final, tau), ids), truth)
-                    out.append({"weight": w, "post": post, "joint": joint, "tau": tau, "f05": round(f, 5)})
-    return sorted(out, key=lambda r: -r["f05"])
+                key = f"{w}|{post}|{joint}"
+                named[key] = (w, post, joint)
+                parts.append((rules.joint_probability(ruled) if joint else ruled).select(F.lit(key).alias("setting"), G, "cand_id", "p"))
+    owned = _owned(functools.reduce(DataFrame.unionByName, parts), "setting")
+    at = F.explode(F.filter(F.array(*map(F.lit, taus)), lambda t: F.col("p") >= t)).alias("tau")
+    chosen = owned.select("setting", G, "cand_id", at).select(F.concat_ws("|", "setting", "tau").alias("setting"), G, "cand_id")
+    settings = scored.sparkSession.createDataFrame([(f"{key}|{tau}",) for key in named for tau in taus], "setting string")
+    out = []
+    for r in decision.macro_by(chosen, truth, settings, "setting").collect():
+        key, _, tau = r["setting"].rpartition("|")
+        w, post, joint = named[key]
+        out.append({"weight": w, "post": post, "joint": joint, "tau": float(tau), "f05": round(r["f05"], 5)})
+    return sorted(out, key=lambda r: (-r["f05"], r["weight"], r["post"], r["joint"], r["tau"]))
 
 
 def stage2_fit(spark: SparkSession, paths: Paths, k: int = 5, params: model.Boosting = model.Boosting()) -> dict:

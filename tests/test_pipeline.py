@@ -32,12 +32,17 @@ def paths(tmp_path_factory):
     return Paths(str(root / "data"), str(root / "work"), str(root / "output"))
 
 
-def test_end_to_end(spark, paths):
+@pytest.fixture(scope="module")
+def trained(spark, paths):
+    """Report and summary of one run over all stages."""
     pipeline.normalize(spark, paths)
     options = pipeline.TrainOptions(preset="v17", n_train=10_000, n_valid=10_000, sibling_share=0.5, boosting=model.Boosting(rounds=8, depth=3))
-    report = pipeline.train(spark, paths, options)
+    return pipeline.train(spark, paths, options), pipeline.predict(spark, paths, pipeline.PredictOptions(tau=0.5, assign="joint"))
+
+
+def test_end_to_end(spark, paths, trained):
+    report, summary = trained
     assert report["blocking"]["recall"] > 0.8
-    summary = pipeline.predict(spark, paths, pipeline.PredictOptions(tau=0.5, assign="joint"))
     assert sum(r["s1"] for r in summary.values()) == read_source(spark, paths.sources("test")["s1"]).count()
     # each S1 has one line, and the files were checked by the pipeline itself
     lines = read_predictions(spark, f"{paths.output}/matching_results.tsv")
@@ -47,8 +52,7 @@ def test_end_to_end(spark, paths):
     assert decision.f05_macro(match, truth) > 0.7
 
 
-def test_tuning_second_stage_and_patch(spark, paths):
-    """Runs on what the test before left."""
+def test_tuning_second_stage_and_patch(spark, paths, trained):
     home = f"{paths.work}/model"
     scored, clean, pool = (spark.read.parquet(f"{home}/{n}") for n in ("valid_scored", "train_clean", "train_pool"))
     truth = read_ground_truth(spark, paths.ground_truth).join(scored.select("source1_entity_id").distinct(), "source1_entity_id", "left_semi")
@@ -61,9 +65,13 @@ def test_tuning_second_stage_and_patch(spark, paths):
     assert pipeline.stage2_predict(spark, paths).count() > 0
     a, b, affected = pipeline.patched(spark, paths, ("shri", "sri"))
     assert b.count() == pipeline.load(spark, paths, "test")[1].count() and affected.count() <= a.count()
+    old, new = spark.read.parquet(f"{home}/test_scored"), pipeline.rescore_patched(spark, paths, ("the", "shree"))
+    assert new.count() == old.count()
+    untouched = old.join(pipeline.patched(spark, paths, ("the", "shree"))[2], "source1_entity_id", "left_anti")
+    assert untouched.exceptAll(new.select(*untouched.columns)).count() == 0
 
 
-def test_command_line(spark, paths, capsys):
+def test_command_line(spark, paths, trained, capsys):
     from kinloom import cli
 
     args = cli._parser().parse_args(["validate", f"{paths.output}/matching_results.tsv", "--candidates", f"{paths.output}/candidate_pairs.tsv", "--check-ids"])

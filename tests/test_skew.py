@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from kinloom.operators.skew import balanced_group_stats, heavy_keys
+from kinloom.operators.skew import balanced_group_stats, heavy_keys, spread_rank
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -50,3 +50,15 @@ def test_empty(spark):
     df = spark.createDataFrame([], "addr string, id string, at timestamp")
     assert balanced_group_stats(df, "addr", "id", "at").columns == ["addr", "n_rows", "n_ids", "first_at", "last_at"]
     assert balanced_group_stats(df, "addr", "id", "at").count() == 0
+
+
+def test_spread_rank_against_sort(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(rng.choice(["hot"] * 8 + ["a", "b", None]), rng.choice([None, 0.5, 0.5, round(rng.random(), 2)]), f"c{k:04d}") for k in range(2000)]
+    df = spark.createDataFrame(rows, "g string, s double, c string").repartition(5)
+    got = {r["c"]: r["r"] for r in spread_rank(df, ["g"], "s", "c", "r", pieces=8).collect()}
+    for g in ("hot", "a", "b", None):
+        own = sorted((r for r in rows if r[0] == g), key=lambda r: (r[1] is None, -(r[1] or 0), r[2]))
+        assert [got[r[2]] for r in own] == list(range(1, len(own) + 1))
