@@ -9,8 +9,8 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from kinloom.config import PRESETS, Paths
-from kinloom.operators import blocking, diagnostics, validate
+from kinloom.config import CAPS, PRESETS, Paths
+from kinloom.operators import blocking, diagnostics, sampling, validate
 from kinloom.plans import pipeline
 from kinloom.session import ship_package
 from kinloom.sources.files import explode_ground_truth, markdown_report, read_ground_truth, read_source, write_json, write_text
@@ -42,7 +42,7 @@ def _parser() -> argparse.ArgumentParser:
     b = sub.add_parser("block-eval")
     b.add_argument("--presets", nargs="*", default=["v8", "v16", "v17"])
     pt = sub.add_parser("patch")
-    pt.add_argument("--strip-prefix", required=True), pt.add_argument("--split", default="test")
+    pt.add_argument("--strip-prefix", required=True), pt.add_argument("--split", default="test"), pt.add_argument("--rescore", action="store_true")
     return ap
 
 
@@ -91,12 +91,19 @@ def run(spark: SparkSession, args: argparse.Namespace, paths: Paths) -> int:
         clean, pool = pipeline.load(spark, paths, "train")
         pairs = explode_ground_truth(read_ground_truth(spark, paths.ground_truth))
         ids = clean.select(F.col("entity_id").alias(pipeline.G))
-        out = {name: blocking.blocking_recall(blocking.generate_candidates(clean, pool, PRESETS[name]), pairs, ids).first().asDict() for name in args.presets}
+        rarest = diagnostics.rarest_shared_keys(blocking.hashed_keys(clean), blocking.pool_keys(pool, 2000), pairs)
+        out = {"coverage": [r.asDict() for r in diagnostics.key_coverage(rarest, pairs, (max(CAPS.values()), 2000)).collect()]}
+        for name in args.presets:
+            cands = blocking.generate_candidates(clean, pool, PRESETS[name])
+            missed = sampling.example_pairs(diagnostics.missed_pairs(cands, pairs), clean, pool, 20)
+            out[name] = {**blocking.blocking_recall(cands, pairs, ids).first().asDict(), "missed": [r.asDict() for r in missed.collect()]}
     elif args.command == "patch":
         clean, pool, affected = pipeline.patched(spark, paths, tuple(args.strip_prefix.lower().split(",")), args.split)
         clean.write.mode("overwrite").parquet(f"{paths.work}/patched/{args.split}_clean")
         pool.write.mode("overwrite").parquet(f"{paths.work}/patched/{args.split}_pool")
         out = {"affected": affected.count()}
+        if args.rescore:
+            out["scored"] = pipeline.rescore_patched(spark, paths, tuple(args.strip_prefix.lower().split(",")), args.split).count()
     print(json.dumps(out, ensure_ascii=False, default=str))
     return 0
 

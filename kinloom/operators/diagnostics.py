@@ -66,6 +66,19 @@ def truth_stats(truth: DataFrame) -> DataFrame:
     return per.crossJoin(ids)  # one row each
 
 
+def matches_by_country(truth: DataFrame, clean: DataFrame) -> DataFrame:
+    """Per country of the clean records with known truth: records, rate of those without match, mean matches."""
+    country = clean.select(F.col("entity_id").alias(G), "country").distinct()
+    return truth.join(country, G).groupBy("country").agg(F.count("*").alias("n_s1"), _share(F.col("n_matches") == 0).alias("singleton_rate_pct"), F.round(F.avg("n_matches"), 3).alias("matches_mean"))
+
+
+def size_ratios(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Per country: rows of either table and the ratio of the second to the first, null where the first has none."""
+    a, b = (df.groupBy("country").agg(F.count("*").alias(n)) for df, n in ((first, "n_first"), (second, "n_second")))
+    d = a.join(b, "country", "full").fillna(0, ["n_first", "n_second"])
+    return d.withColumn("ratio", F.round(F.col("n_second") / F.nullif("n_first", F.lit(0)), 4))
+
+
 def coverage(pool: DataFrame, truth_pairs: DataFrame) -> DataFrame:
     """Per source and country: records and the share of them that is matched to some clean record."""
     hit = truth_pairs.select(F.col("matched_id").alias("entity_id")).distinct().withColumn("hit", F.lit(1))
@@ -143,6 +156,15 @@ def contested(scored: DataFrame, tau: float) -> DataFrame:
     )
 
 
+def contest_shares(contests: DataFrame, entities: DataFrame, split: str) -> DataFrame:
+    """Per country of a split: clean records, share of them in a contest, and contested claims won and lost for each such record."""
+    d = entities.select(G, "country").distinct().join(contests.drop("country"), G, "left").fillna(False, ["contested"])
+    mine = F.col("contested")
+    return d.groupBy("country").agg(
+        F.count("*").alias("n_s1"), F.round(F.avg(mine.cast("double")), 4).alias("contested"), F.round(F.avg(F.when(mine, F.col("won"))), 4).alias("won"), F.round(F.avg(F.when(mine, F.col("lost"))), 4).alias("lost")
+    ).withColumn("split", F.lit(split))
+
+
 def contested_pairs(scored: DataFrame, tau: float) -> DataFrame:
     """Pairs of clean records that claim the same candidates: ``G, other, country, shared, a_wins, b_wins``."""
     w = Window.partitionBy("cand_id")
@@ -229,6 +251,33 @@ def unclaimed(pool: DataFrame, selected: DataFrame, scored: DataFrame) -> DataFr
     return free.join(best, "cand_id", "left").join(owner, "cand_id", "left")
 
 
+def pool_density(clean: DataFrame, pool: DataFrame) -> DataFrame:
+    """Per country and source: pool records, clean records, and pool records for each clean one."""
+    n = clean.groupBy("country").agg(F.countDistinct("entity_id").alias("n_s1"))
+    p = pool.groupBy("country", F.substring("entity_id", 1, 2).alias("source")).agg(F.countDistinct("entity_id").alias("n_pool"))
+    return p.join(n, "country", "left").fillna(0, ["n_s1"]).withColumn("per_s1", F.round(F.col("n_pool") / F.nullif("n_s1", F.lit(0)), 4))
+
+
+def unclaimed_bands(free: DataFrame, pool: DataFrame) -> DataFrame:
+    """Per country and source of unclaimed pool records: their number, the share in some candidate list, and shares by band of the best p."""
+    d = free.join(pool.select(F.col("entity_id").alias("cand_id"), "country").distinct(), "cand_id").withColumn("band", band_right_closed(F.col("best_p")))
+    bands = [F.round(F.avg((F.coalesce(F.col("band") == label, F.lit(False)) & F.col("best_p").isNotNull()).cast("double")), 4).alias(f"b{i}") for i, label in enumerate(RIGHT_LABELS)]
+    return d.groupBy("country", F.substring("cand_id", 1, 2).alias("source")).agg(F.count("*").alias("n_free"), F.round(F.avg(F.col("best_p").isNotNull().cast("double")), 4).alias("in_lists"), *bands)
+
+
+def key_coverage(rarest: DataFrame, truth_pairs: DataFrame, caps: tuple[int, ...]) -> DataFrame:
+    """``cap, true_pairs, covered, share``: true pairs that share a block of at most ``cap`` records. ``rarest``: as of ``rarest_shared_keys``."""
+    n = truth_pairs.agg(F.count("*").alias("true_pairs"))
+    held = rarest.agg(*(F.count_if(F.col("df") <= cap).alias(f"c{cap}") for cap in caps)).crossJoin(n)  # one row
+    rows = held.select("true_pairs", F.explode(F.array(*(F.struct(F.lit(cap).alias("cap"), F.col(f"c{cap}").alias("covered")) for cap in caps))).alias("x"))
+    return rows.select("x.cap", "true_pairs", "x.covered", F.round(F.col("x.covered") / F.greatest("true_pairs", F.lit(1)), 4).alias("share"))
+
+
+def missed_pairs(cands: DataFrame, truth_pairs: DataFrame) -> DataFrame:
+    """True pairs that are in no candidate list: ``source1_entity_id, cand_id``."""
+    return truth_pairs.withColumnRenamed("matched_id", "cand_id").join(cands.select(G, "cand_id"), [G, "cand_id"], "left_anti").select(G, "cand_id").distinct()
+
+
 def rarest_shared_keys(keys_clean: DataFrame, pool_keys: DataFrame, truth_pairs: DataFrame) -> DataFrame:
     """Per true pair the smallest block it shares and its type: ``G, matched_id, t, df``; absent where it shares none."""
     mine = truth_pairs.join(keys_clean.select(F.col("id").alias(G), "h"), G)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,3 +27,10 @@ def example_pairs(pairs: DataFrame, clean: DataFrame, pool: DataFrame, n: int, s
     b = pool.select(F.col("entity_id").alias("cand_id"), *raw)
     few = seeded_sample(pairs.withColumn("__kl_pair", F.concat_ws("|", "source1_entity_id", "cand_id")), "__kl_pair", n, seed).drop("__kl_pair")
     return few.join(a, "source1_entity_id").join(b, "cand_id")
+
+
+def examples_by(pairs: DataFrame, label: str, labels: tuple[str, ...], n: int, seed: int = SEED) -> DataFrame:
+    """``n`` pairs of each of a few labels, those with the smallest hash of their ids; each task keeps its ``n`` best of a label."""
+    keyed = pairs.withColumn("__kl_pair", F.concat_ws("|", "source1_entity_id", "cand_id"))
+    parts = [seeded_sample(keyed.where(F.col(label) == name), "__kl_pair", n, seed) for name in labels]
+    return functools.reduce(DataFrame.unionByName, parts).drop("__kl_pair")
