@@ -8,13 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from kinloom.config import CAPS, KEY_WEIGHTS, PRESETS, Blocking
 from kinloom.functions.similarity import similarity
 from kinloom.functions.text import add_views, fold
 from kinloom.functions.vocab import ADDRESS_SHORT, DESIGNATORS, IN_STATES, LEGAL_FORMS, NAME_STOPWORDS, STATE_CODES, US_STATES
-from kinloom.operators import aliases, blocking, decision, diagnostics, features, model, rules, sampling, siblings, stage2, validate
+from kinloom.operators import aliases, blocking, decision, diagnostics, features, model, rules, sampling, siblings, stage2
 from kinloom.session import materialize
 from kinloom.sources.files import explode_ground_truth, parse_ground_truth
 from kinloom.sources.tables import table
@@ -273,14 +272,6 @@ def q_block_log_weight(spark, base):
     return blocking.top_per_source(s, "bscore", 3).select(G, "cand_id", "source", "bscore", "n_keytypes")
 
 
-def q_block_reverse(spark, base):
-    """Best clean record of every pool record that the forward search did not select."""
-    s = materialize(_block_scores(spark, base, Blocking()), "block-scores")
-    forward = blocking.top_per_source(s, "bscore", 3).select(G, "cand_id")
-    rank = F.row_number().over(Window.partitionBy("cand_id").orderBy(F.desc("bscore"), G))
-    return s.withColumn("r", rank).where("r <= 2").join(forward, [G, "cand_id"], "left_anti").select(G, "cand_id", "bscore")
-
-
 def q_block_recall(spark, base):
     s = _block_scores(spark, base, Blocking())
     t = truth(spark, base)
@@ -423,12 +414,6 @@ def q_idf_features(spark, base):
     return d.select(G, "cand_id", *(F.round(F.col(n), 6).alias(n) for n in ("idf_shared_sum", "idf_shared_max", "idf_frac1", "idf_frac2", "idf_miss1_max", "idf_miss2_max")))
 
 
-def q_group_features(spark, base):
-    w = Window.partitionBy(G)
-    rank = F.row_number().over(Window.partitionBy(G, "source").orderBy(F.desc("bscore"), "cand_id"))
-    return _pairs(spark, base).select(G, "cand_id", "source", rank.alias("rank_in_src"), F.count("*").over(w).alias("n_cands"), F.round(F.max("bscore").over(w) - F.col("bscore"), 6).alias("bscore_gap"))
-
-
 def q_jaro_winkler(spark, base):
     a = simple_views(clean(spark, base)).select(F.col("entity_id").alias(G), F.col("name_core").alias("n1"))
     b = simple_views(pool(spark, base)).select(F.col("entity_id").alias("cand_id"), F.col("name_core").alias("n2"))
@@ -477,9 +462,8 @@ def _labelled_features(spark, base) -> DataFrame:
 
 
 def q_gbt_scores(spark, base):
-    """Out-of-fold probabilities of boosted trees on all labelled pairs; a reduced fit of 10 rounds, depth 4 and 2 folds (defaults: 60, 6 and 3)."""
-    params = model.Boosting(rounds=10, depth=4)
-    return model.cross_validated(_labelled_features(spark, base), features.FEATURES, 2, params=params).select(G, "cand_id", "y", F.round("p", 6).alias("p"))
+    """Out-of-fold probabilities of boosted trees, with the operator's own parameters, on all labelled pairs."""
+    return model.cross_validated(_labelled_features(spark, base), features.FEATURES).select(G, "cand_id", "y", F.round("p", 6).alias("p"))
 
 
 def q_auc_ranks(spark, base):
@@ -489,7 +473,8 @@ def q_auc_ranks(spark, base):
 
 def q_split_entities(spark, base):
     ids = clean(spark, base).select(F.col("entity_id").alias(G))
-    return model.split_entities(ids, 500, 200)
+    n = ids.distinct().count()
+    return model.split_entities(ids, n // 2, n // 5)
 
 
 def q_seeded_fraction(spark, base):
@@ -510,7 +495,7 @@ def q_band_shares(spark, base):
 def q_bands(spark, base):
     s, t = _labelled(spark, base)
     ex = model.label_pairs(decision.apply_exclusivity(s), explode_ground_truth(t))
-    return diagnostics.bands_left_closed(ex, 1000)
+    return diagnostics.bands_left_closed(ex, t.count())
 
 
 def _selected(spark, base) -> DataFrame:
@@ -588,14 +573,6 @@ def q_patch(spark, base):
     return aliases.patch(old, new)
 
 
-def q_output_checks(spark, base):
-    s = scored(spark, base)
-    ids = clean(spark, base).select(F.col("entity_id").alias(G)).distinct()
-    lists = decision.to_lists(decision.choose_by_threshold(s, 0.6), ids)
-    cands = decision.to_lists(s.select(G, "cand_id"), ids)
-    return validate.output_checks(lists, cands, ids, table(spark, base, "s2").select("entity_id").distinct())
-
-
 def q_legal_conflicts(spark, base):
     d = diagnostics.legal_conflicts(_selected(spark, base), add_views(clean(spark, base)), add_views(pool(spark, base)))
     return d.groupBy("legal_conflict").agg(F.count("*").alias("n_pairs"), F.round(F.avg("p"), 6).alias("p"))
@@ -707,8 +684,6 @@ ORACLES = {
     "q_block_keys": f"WITH {_POOL_SQL}, {_keys_sql('pk', 'pl')} SELECT country, t, count(*) AS n_keys, max(df) AS largest, CAST(sum(df) AS BIGINT) AS n_rows FROM (SELECT country, t, key, count(*) AS df FROM pk GROUP BY 1, 2, 3) GROUP BY 1, 2",
     "q_block_topk": f"WITH {_block_sql()} SELECT * FROM blocks QUALIFY row_number() OVER (PARTITION BY source1_entity_id, source ORDER BY bscore DESC, cand_id) <= 8",
     "q_block_log_weight": f"WITH {_block_sql('log2(df + 1)')} SELECT * FROM blocks QUALIFY row_number() OVER (PARTITION BY source1_entity_id, source ORDER BY bscore DESC, cand_id) <= 3",
-    "q_block_reverse": f"""WITH {_block_sql()}, r AS (SELECT *, row_number() OVER (PARTITION BY source1_entity_id, source ORDER BY bscore DESC, cand_id) AS f, row_number() OVER (PARTITION BY cand_id ORDER BY bscore DESC, source1_entity_id) AS b FROM blocks)
-        SELECT source1_entity_id, cand_id, bscore FROM r WHERE b <= 2 AND f > 3""",
     "q_block_recall": f"""WITH {_block_sql()}, {_TRUTH_SQL}, top AS (SELECT * FROM blocks WHERE source1_entity_id IN (SELECT source1_entity_id FROM truth) QUALIFY row_number() OVER (PARTITION BY source1_entity_id, source ORDER BY bscore DESC, cand_id) <= 8),
         m AS (SELECT source1_entity_id, unnest(matched) AS cand_id FROM truth)
         SELECT count(*) AS true_pairs, count(top.cand_id) AS found, round(count(top.cand_id) / greatest(count(*), 1), 4) AS recall, round((SELECT count(*) FROM top) / greatest((SELECT count(*) FROM truth), 1), 2) AS cands_per_query
@@ -751,8 +726,6 @@ ORACLES = {
         g2 AS (SELECT source1_entity_id, cand_id, sum(idf) AS s, coalesce(max(idf) FILTER (NOT sh), 0) AS mi FROM e2 GROUP BY 1, 2)
         SELECT j.source1_entity_id, j.cand_id, round(coalesce(g1.ss, 0), 6) AS idf_shared_sum, round(coalesce(g1.sm, 0), 6) AS idf_shared_max, round(coalesce(g1.ss, 0) / greatest(coalesce(g1.s, 0), 1e-6), 6) AS idf_frac1,
           round(coalesce(g1.ss, 0) / greatest(coalesce(g2.s, 0), 1e-6), 6) AS idf_frac2, round(coalesce(g1.mi, 0), 6) AS idf_miss1_max, round(coalesce(g2.mi, 0), 6) AS idf_miss2_max FROM j LEFT JOIN g1 USING (source1_entity_id, cand_id) LEFT JOIN g2 USING (source1_entity_id, cand_id)""",
-    "q_group_features": f"""WITH {_PAIRS_SQL} SELECT source1_entity_id, cand_id, source, CAST(row_number() OVER (PARTITION BY source1_entity_id, source ORDER BY bscore DESC, cand_id) AS INT) AS rank_in_src,
-        count(*) OVER (PARTITION BY source1_entity_id) AS n_cands, round(max(bscore) OVER (PARTITION BY source1_entity_id) - bscore, 6) AS bscore_gap FROM prs""",
     "q_jaro_winkler": f"WITH {_JOINED_SQL} SELECT source1_entity_id, cand_id, round(CASE WHEN c1 = c2 THEN 1.0 ELSE jaro_winkler_similarity(c1, c2) END, 6) AS jw FROM j",
     "q_stage2_claims": f"""WITH {_SCORED_SQL}, d AS (SELECT source1_entity_id, cand_id, p AS p1, row_number() OVER c AS cr, count(*) OVER (PARTITION BY cand_id) AS n, row_number() OVER g AS gr, count(*) OVER (PARTITION BY source1_entity_id) AS gn,
           nth_value(p, 1) OVER (PARTITION BY cand_id ORDER BY p DESC, source1_entity_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS c1, nth_value(p, 2) OVER (PARTITION BY cand_id ORDER BY p DESC, source1_entity_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS c2,
@@ -769,7 +742,7 @@ ORACLES = {
         SELECT country, {", ".join(f"max(s) FILTER (b = {i}) AS b{i}" for i in range(7))} FROM s GROUP BY 1""",
     "q_bands": f"""WITH {_TRUTH_SQL}, {_SCORED_SQL}, {_LABELLED_SQL}, ex AS (SELECT * FROM lab QUALIFY row_number() OVER (PARTITION BY cand_id ORDER BY p DESC, source1_entity_id) = 1),
         y AS (SELECT CASE {" ".join(f"WHEN p >= {lo} AND p < {hi} THEN '{lo:.2f}-{min(hi, 1):.2f}'" for lo, hi in diagnostics.LEFT_CLOSED)} END AS band, CAST(coalesce(list_contains(matched, cand_id), false) AS DOUBLE) AS y FROM ex JOIN truth USING (source1_entity_id))
-        SELECT band, round(count(*) / 1000.0, 6) AS pairs_per_s1, round(avg(y), 6) AS precision FROM y WHERE band IS NOT NULL GROUP BY 1""",
+        SELECT band, round(count(*) / greatest((SELECT count(*) FROM truth), 1), 6) AS pairs_per_s1, round(avg(y), 6) AS precision FROM y WHERE band IS NOT NULL GROUP BY 1""",
     "q_prediction_summary": f"""WITH {_SCORED_SQL}, {_EXCLUSIVE_SQL}, c AS (SELECT source1_entity_id, count(*) AS n FROM excl WHERE p >= 0.5 GROUP BY 1), e AS (SELECT DISTINCT entity_id, country FROM s1)
         SELECT country, count(*) AS s1, round(avg(coalesce(n, 0)), 3) AS pred_per_s1, round(avg(CAST(coalesce(n, 0) = 0 AS DOUBLE)), 4) AS share_0, round(avg(CAST(coalesce(n, 0) >= 6 AS DOUBLE)), 4) AS share_6plus, 'all' AS split FROM e LEFT JOIN c ON c.source1_entity_id = entity_id GROUP BY 1""",
     "q_cell_labels": f"""WITH {_NUMS_SQL}, {_EXCLUSIVE_SQL}, sel AS (SELECT f.* FROM flags1 f JOIN excl USING (source1_entity_id, cand_id) WHERE f.p >= 0.5),
@@ -808,8 +781,5 @@ ORACLES = {
         g AS (SELECT d.country, f.entity_id IS NOT NULL AS same_name, coalesce(near, false) AS near, coalesce(dup, false) AS dup, CAST(coalesce(n_matches, 0) = 0 AS DOUBLE) AS nm FROM d LEFT JOIN f USING (entity_id) LEFT JOIN truth ON source1_entity_id = d.entity_id)
         SELECT country, count(*) AS n_s1, round(avg(CAST(same_name AS DOUBLE)), 4) AS same_name, round(avg(CAST(near AS DOUBLE)), 4) AS near, round(avg(CAST(dup AS DOUBLE)), 4) AS dup, round(avg(nm), 4) AS nomatch_all,
           round(avg(nm) FILTER (same_name), 4) AS nomatch_same_name, round(avg(nm) FILTER (near), 4) AS nomatch_near, round(avg(nm) FILTER (dup), 4) AS nomatch_dup FROM g GROUP BY 1""",
-    "q_output_checks": f"""WITH {_SCORED_SQL}, {_EXCLUSIVE_SQL}, x AS (SELECT count(*) FILTER (cand_id NOT IN (SELECT entity_id FROM s2)) AS a FROM excl WHERE p >= 0.6), y AS (SELECT count(*) FILTER (cand_id NOT IN (SELECT entity_id FROM s2)) AS b FROM scored)
-        SELECT check_name AS "check", CASE check_name WHEN 'matches: ids not in the pool' THEN (SELECT a FROM x) WHEN 'candidates: ids not in the pool' THEN (SELECT b FROM y) ELSE 0 END AS violations
-        FROM (SELECT unnest([{", ".join(f"'{n}: {w}'" for n in ("matches", "candidates") for w in ("repeated rows", "missing rows", "unknown clean ids", "ids not in the pool", "ids repeated in a list"))}, 'matches outside the candidates']) AS check_name)""",
     "q_post_variants": _variants_sql(),
 }
