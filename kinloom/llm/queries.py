@@ -82,6 +82,19 @@ def p7_fill_report(spark: SparkSession, base: str) -> DataFrame:
     return fill_report(p7_packed(spark, base))
 
 
+def p7_checks(spark: SparkSession, base: str) -> DataFrame:
+    """What must hold of containers, by kind: texts packed, tokens lost or doubled, containers over capacity, texts split without need."""
+    d = p7_packed(spark, base)
+    size = F.col("token_to") - F.col("token_from")
+    bins = d.groupBy("pack_kind", "bin_id").agg(F.sum(size).alias("filled"), F.max("capacity").alias("cap")).groupBy("pack_kind").agg(F.count_if(F.col("filled") > F.col("cap")).alias("overfull"))
+    # consecutive parts from 0: their sizes add up to the last end, and all but the last fill a container
+    texts = d.groupBy("pack_kind", "doc_id").agg(F.sum(size).alias("tokens"), F.max("token_to").alias("last"), F.max("capacity").alias("cap"), F.count("*").alias("parts"), F.count_distinct("part").alias("numbers"))
+    texts = texts.groupBy("pack_kind").agg(
+        F.count("*").alias("n_texts"), F.count_if((F.col("tokens") != F.col("last")) | (F.col("parts") != F.col("numbers"))).alias("broken"), F.count_if(F.col("parts") != F.ceil(F.col("last") / F.col("cap"))).alias("split_without_need")
+    )
+    return bins.join(texts, "pack_kind")
+
+
 def _mixed(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
     return mix(table(spark, base, "documents"), "doc_id", "text", "source", "lang", table(spark, base, "mix_targets"))
 
@@ -94,6 +107,15 @@ def p8_reached_shares(spark: SparkSession, base: str) -> DataFrame:
     return _mixed(spark, base)[1]
 
 
+def p8_checks(spark: SparkSession, base: str) -> DataFrame:
+    """What must hold of a mixture, by source: texts in it that are not of the source, repeats above the cap, texts without a target."""
+    chosen, report = _mixed(spark, base)
+    docs = table(spark, base, "documents").select("doc_id", F.col("source").alias("own"))
+    wrong = chosen.join(docs, "doc_id", "left").where("own is null or own <> source").groupBy("source").agg(F.count("*").alias("wrong"))
+    d = report.join(wrong, "source", "left")
+    return d.select("source", "target_share", F.coalesce("wrong", F.lit(0)).alias("wrong"), (F.col("most_times") > F.col("max_repeats")).alias("over_cap"), (F.col("reached_tokens") > F.col("available_tokens") * F.col("max_repeats")).alias("over_size"))
+
+
 def p9_repaired_documents(spark: SparkSession, base: str) -> DataFrame:
     docs = table(spark, base, "documents").select("doc_id", "text", "source")
     return repair(docs, "text", "source").select("doc_id", "source", "garbled", "chains", "repaired")
@@ -122,12 +144,16 @@ QUERIES = {
     "p6_canonical_names": p6_canonical_names,
     "p7_packed": p7_packed,
     "p7_fill_report": p7_fill_report,
+    "p7_checks": p7_checks,
     "p8_mixture": p8_mixture,
     "p8_reached_shares": p8_reached_shares,
+    "p8_checks": p8_checks,
     "p9_found": p9_found,
     "p9_repaired_documents": p9_repaired_documents,
 }
 ORACLES = {
     "p4_found": "SELECT source1_entity_id, cand_id" + _P4,
     "p4_top_candidates": "SELECT source1_entity_id, cand_id, bscore" + _P4,
+    "p7_checks": "SELECT pack_kind, 0 AS overfull, (SELECT count(*) FROM documents WHERE length(text) > 0) AS n_texts, 0 AS broken, 0 AS split_without_need FROM pack_sizes",
+    "p8_checks": "SELECT source, target_share, 0 AS wrong, false AS over_cap, false AS over_size FROM mix_targets",
 }
