@@ -301,8 +301,13 @@ class Vocabulary:
 
 
 def same_name(a_rare: list[str], a_common: list[str], b_rare: list[str], b_common: list[str]) -> int:
-    """2: the same name; 1: the same but for common words that one side lacks; -1: the same rare words, but either side has a common word
-    that the other lacks, or equal rare words, but one side lacks another; 0: different names."""
+    """3: the same name, with equal rare words; 2: the same name, with rare words alike; 1: the same but for common words that one side
+    lacks; 0: different names.
+
+    -1: alike, but only a common place could tell. The rare words are equal, but either side has a common word that the other lacks, or one
+    side lacks one of several rare words; or the rare words are spelled differently and common words are lacking; or the only
+    rare word starts with another letter.
+    """
     left_ra: list[str] = []
     left_rb: list[str] = []
     if not a_rare or not b_rare:
@@ -314,19 +319,25 @@ def same_name(a_rare: list[str], a_common: list[str], b_rare: list[str], b_commo
             left_ra, left_rb = [], []
     left_a, left_b = _leftover(a_common, b_common, True)
     left_a, left_b = [w for w in left_a if len(w) > 1], [w for w in left_b if len(w) > 1]
-    matched_common = len(left_a) < len(a_common)
+    equal = sorted(a_rare) == sorted(b_rare)
     if left_ra or left_rb:
         # a rare word may be an unusual spelling of a common one
         matched_rare = len(a_rare) - len(left_ra)
         left_ra, left_b = _leftover(left_ra, left_b, True)
         left_rb, left_a = _leftover(left_rb, left_a, True)
+        shared = bool(set(a_rare) & set(b_rare))
         if left_ra or left_rb:
-            return -1 if len(left_ra) + len(left_rb) == 1 and set(a_rare) & set(b_rare) and not (left_a and left_b) else 0
+            return -1 if len(left_ra) + len(left_rb) == 1 and shared and not (left_a and left_b) else 0
         if not matched_rare:
             return 0
+        equal = equal or shared
     if left_a and left_b:
-        return -1 if a_rare and (matched_common or sorted(a_rare) == sorted(b_rare)) else 0
-    return 1 if left_a or left_b else 2
+        return -1 if a_rare and equal else 0
+    if left_a or left_b:
+        return 1 if equal or "".join(a_rare) == "".join(b_rare) else -1
+    if equal or "".join(a_rare) == "".join(b_rare):
+        return 3
+    return -1 if len(a_rare) == len(b_rare) == 1 and a_rare[0][0] != b_rare[0][0] else 2
 
 
 def _run_together(a: list[str], b: list[str]) -> bool:

@@ -23,7 +23,7 @@ from kinloom.session import bounded_broadcast, materialize, release
 SHARE = 0.0015
 #: A word in fewer records than this is not common, unless it is one of the usual words: more than the copies of one business.
 LEAST = 20
-#: An address, as written, of so many clusters of names is no cluster's own.
+#: A place of so many clusters of names is no cluster's own.
 MANY = 10
 _DOUBLE = re.compile(r"(.)\1+")
 #: "and" inside words that are run together
@@ -37,7 +37,7 @@ def _once(sounds: str) -> str:
 def block_keys(rare: list[str], common: list[str]) -> list[str]:
     """Phonetic codes of the sorted words, one of them rare; codes of rare words also with one sound left out.
 
-    A whole code is paired with each other word's. Of that word the first sound suffices where the code is long, or where it is an
+    A long code stands for itself, so names meet that differ in all other words. A whole code is paired with each other word's. Of that word the first sound suffices where the code is long, or where it is an
     initial or a given name. A short code with a sound left out is shared by many words: it is paired with other rare words, and with
     all other words at once.
     """
@@ -51,7 +51,7 @@ def block_keys(rare: list[str], common: list[str]) -> list[str]:
         for c in {fine_code(r), fine_code(r.replace("rn", "m"))}:
             cut = {_once(c[:k] + c[k + 1 :]) for k in range(len(c))} if len(c) >= 3 else set()
             keys |= {f"{c}+{fine_code(w)[:1]}" for w in others if len(c) >= 4 or len(w) == 1 or w in GIVEN}
-            keys |= {"~".join(sorted((c, o))) for o in sounds}
+            keys |= {"~".join(sorted((c, o))) for o in sounds} | ({c} if len(c) >= 4 else set())
             keys |= {"~".join(sorted((f, o))) for f in cut | {c} for o in (telling if len(c) <= 4 else sounds)}
     return sorted(keys)
 
@@ -159,47 +159,52 @@ def address_places(records: DataFrame, address: str, country: str) -> DataFrame:
 def name_clusters(records: DataFrame, name: str, address: str, country: str) -> DataFrame:
     """The cluster of each stored name: ``name, country, cluster``.
 
-    * Names whose words all have a partner are one cluster; names that differ in a word on either side are kept apart.
-    * A name that lacks words of a longer one joins its cluster if both occur at a common place (an exact check by house number
-      and two parts of the address) and no other longer cluster does, or if there is only one longer cluster and that has no place of
-      its own, which would speak for another business: none at all, or only at addresses of ``MANY`` or more clusters.
+    * Names whose words all have a partner are one cluster, if the rare ones are equal, or if not both have places of their own, apart from each other.
+    * Names of the same rare words that differ by a common word, and names that lack a rare word of two, are joined only at a common place (an
+      exact check by house number and two parts of the address) that is their own: a place of ``MANY`` or more clusters speaks for none.
+    * A name that lacks common words of a longer one joins its cluster if both occur at a common place and no other longer cluster does, or
+      if there is only one longer cluster and that has no place of its own, which would speak for another business.
     * Null names, and names without two common words or a rare one, are in no cluster. Texts are read whole.
     * An empty table gives an empty result; other columns are ignored; repeated rows change nothing.
     """
     parsed = parsed_names(records, name, country).where("keys is not null")
     stored, forms = parsed.select("name", "country", "form"), parsed.dropDuplicates(["form"]).drop("name")
     judged = judged_pairs(forms)
-    # places of each form: known as soon as one of its stored names has them
     uses = records.select(F.col(name).cast("string").alias("name"), F.col(address).cast("string").alias("address"), F.coalesce(F.col(country).cast("string"), F.lit("")).alias("country")).where("name is not null and address is not null").distinct()
     at_form = uses.join(address_places(uses, "address", "country"), ["address", "country"]).join(stored, ["name", "country"])
-    at_form = materialize(at_form.select("form", "country", F.xxhash64("address").alias("address"), F.explode("places").alias("place")).distinct(), "name-places")
-    where = at_form.select("form", "place").distinct()
-    swapped = judged.where("v = -1").select("a", "b")
-    swapped = swapped.join(where.withColumnRenamed("form", "a"), "a").join(where.withColumnRenamed("form", "b"), ["b", "place"]).select("a", "b")
-    found = components(judged.where("v = 2").select("a", "b").union(swapped), "a", "b").withColumnRenamed("node", "form")
-    placed = materialize(forms.select("form").join(found, "form", "left").select("form", F.coalesce("component", "form").alias("c")), "name-components")
-    of = stored.join(placed, "form").select("name", "country", "c")
-    weak = (
-        judged.where("v = 1")
-        .join(placed.select(F.col("form").alias("a"), F.col("c").alias("ca")), "a")
-        .join(placed.select(F.col("form").alias("b"), F.col("c").alias("cb")), "b")
-        .where("ca <> cb")
-        .select(F.expr("if(short = a, ca, cb)").alias("s"), F.expr("if(short = a, cb, ca)").alias("l"))
-        .distinct()
-    )
-    weak = materialize(weak, "weak-names")
-    placed_at = materialize(at_form.join(placed, "form").select("c", "country", "address", "place").distinct(), "cluster-places")
-    at = placed_at.select("c", "place").distinct()
-    shared = weak.join(at.withColumnRenamed("c", "s"), "s").join(at.withColumnRenamed("c", "l"), ["l", "place"]).select("s", "l").distinct()
-    # a short name that fits several longer ones at its place stays alone
-    shared = shared.groupBy("s").agg(F.count("*").alias("k"), F.min("l").alias("l")).where("k = 1").select("s", "l")
-    users = placed_at.select("c", "country", "address").distinct()
-    busy = users.groupBy("country", "address").count().where(F.col("count") >= MANY).select("country", "address")
-    owners = users.join(bounded_broadcast(busy, 100_000), ["country", "address"], "left_anti").select(F.col("c").alias("l")).distinct()
+    at_form = materialize(at_form.select("form", F.explode("places").alias("place")).distinct(), "name-places")
+    agreed = components(judged.where("v = 3"), "a", "b").withColumnRenamed("node", "form")
+    of = materialize(forms.select("form").join(agreed, "form", "left").select("form", F.coalesce("component", "form").alias("c")), "name-components")
+    at = materialize(at_form.join(of, "form").select("c", "place").distinct(), "cluster-places")
+    busy = at.groupBy("place").count().where(F.col("count") >= MANY).select("place")
+    own = materialize(at.join(bounded_broadcast(busy, 100_000), "place", "left_anti"), "own-places")
+
+    def between(pairs: DataFrame, of: DataFrame) -> DataFrame:
+        """Pairs of forms as pairs of clusters, the one of the shorter name first."""
+        d = pairs.join(of.select(F.col("form").alias("a"), F.col("c").alias("ca")), "a").join(of.select(F.col("form").alias("b"), F.col("c").alias("cb")), "b").where("ca <> cb")
+        return d.select(F.expr("if(short = a, ca, cb)").alias("s"), F.expr("if(short = a, cb, ca)").alias("l")).distinct()
+
+    def together(pairs: DataFrame, at: DataFrame) -> DataFrame:
+        return pairs.join(at.withColumnRenamed("c", "s"), "s").join(at.withColumnRenamed("c", "l"), ["l", "place"]).select("s", "l").distinct()
+
+    # names spelled differently are one unless both have places of their own and none in common, which speaks for two businesses
+    alike = materialize(between(judged.where("v = 2"), of), "alike-names")
+    settled = own.select("c").distinct()
+    apart = alike.join(settled.withColumnRenamed("c", "s"), "s", "left_semi").join(settled.withColumnRenamed("c", "l"), "l", "left_semi").join(together(alike, at), ["s", "l"], "left_anti")
+    swapped = together(between(judged.where("v = -1"), of), own)
+    merged = materialize(alike.join(apart, ["s", "l"], "left_anti").select("s", "l").union(swapped), "merged-names")
+    joined = components(merged, "s", "l").select(F.col("node").alias("c"), F.col("component").alias("d"))
+    of = materialize(of.join(joined, "c", "left").select("form", F.coalesce("d", "c").alias("c")), "name-components")
+    at = materialize(at.join(joined, "c", "left").select(F.coalesce("d", "c").alias("c"), "place").distinct(), "cluster-places")
+    owners = own.join(joined, "c", "left").select(F.coalesce("d", "c").alias("l")).distinct()
+    weak = materialize(between(judged.where("v = 1"), of), "weak-names")
+    # a short name that fits several longer ones at its place, or anywhere, stays alone
+    shared = together(weak, at).groupBy("s").agg(F.count("*").alias("k"), F.min("l").alias("l")).where("k = 1").select("s", "l")
     alone = weak.groupBy("s").agg(F.count("*").alias("k"), F.min("l").alias("l")).where("k = 1").join(owners, "l", "left_anti").select("s", "l")
     links = materialize(shared.union(alone).distinct(), "name-links")
     joined = components(links, "s", "l").select(F.col("node").alias("c"), F.col("component").alias("cluster"))
-    return of.join(joined, "c", "left").select("name", "country", F.lower(F.hex(F.coalesce("cluster", "c"))).alias("cluster"))
+    clusters = of.join(joined, "c", "left").select("form", F.coalesce("cluster", "c").alias("cluster"))
+    return stored.join(clusters, "form").select("name", "country", F.lower(F.hex("cluster")).alias("cluster"))
 
 
 def variant_pairs(records: DataFrame, id_col: str, name: str, address: str, country: str) -> DataFrame:

@@ -25,3 +25,14 @@ def test_the_only_choice_whatever_the_copies(spark):
     assert got["Vordutek Optics"] == got["Vordutek Optics Inc"] == got["Vordutek Optics International"]
     # a place of its own speaks for another business
     assert got["Dolnonas Bakery"] != got["Dolnonas Bakery Trading"]
+
+
+def test_alike_names_with_places_of_their_own_are_two(spark):
+    got = clusters(spark, [("Vordutek Optics", OTHER), ("Vordurek Optics", "9 Kelmar Lane, Ondville, TX 10900"), ("Dolnonas Bakery", OTHER), ("Dolnonsa Bakery", None), ("Jorpamel Clinic", OTHER), ("Jorpamel Trading", OTHER), ("Brivexor Clinic", OTHER), ("Drivexor Clinic", HOT)])
+    assert got["Vordutek Optics"] != got["Vordurek Optics"]
+    # a name spelled differently without a place, or at the same one, is the same
+    assert got["Dolnonas Bakery"] == got["Dolnonsa Bakery"]
+    # one word differs at a place of their own
+    assert got["Jorpamel Clinic"] == got["Jorpamel Trading"]
+    # another first letter and no place in common
+    assert got["Brivexor Clinic"] != got["Drivexor Clinic"]
