@@ -332,7 +332,9 @@ def same_name(a_rare: list[str], a_common: list[str], b_rare: list[str], b_commo
             return 0
         equal = equal or shared
     if left_a and left_b:
-        return -1 if a_rare and equal else 0
+        # different given names are different persons
+        persons = any(w in GIVEN for w in left_a) and any(w in GIVEN for w in left_b)
+        return -1 if a_rare and equal and not persons else 0
     if left_a or left_b:
         return 1 if equal or "".join(a_rare) == "".join(b_rare) else -1
     if equal or "".join(a_rare) == "".join(b_rare):
