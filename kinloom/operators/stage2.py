@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kinloom.functions.similarity import similarity
 from kinloom.operators.skew import spread_rank
+from kinloom.session import materialize
 
 G = "source1_entity_id"
 P_FLOOR, ANCHOR_P = 0.01, 0.9
@@ -30,7 +31,8 @@ def _two_best(d: DataFrame, key: str) -> DataFrame:
 
 def claim_features(scored: DataFrame) -> DataFrame:
     """Features over all claimants of a candidate and all candidates of a clean record; pairs below the floor do not count."""
-    d = scored.where(F.col("p") >= P_FLOOR).select(G, "cand_id", F.col("p").alias("p1"))
+    # read once for each key and for the ranks
+    d = materialize(scored.where(F.col("p") >= P_FLOOR).select(G, "cand_id", F.col("p").alias("p1")), "claims")
     cand, grp = _two_best(d, "cand_id"), _two_best(d, G)
     owner = d.join(cand.select("cand_id", F.col("first").alias("m")), "cand_id").where("p1 = m").groupBy("cand_id").agg(F.min(G).alias("__kl_owner"))
     c = cand.join(owner, "cand_id").select("cand_id", F.col("rows").cast("double").alias("n_s1_claims"), F.col("first").alias("__kl_cf"), F.col("second").alias("__kl_cs"), "__kl_owner")
@@ -67,7 +69,7 @@ def number_and_cluster_features(d: DataFrame, clean: DataFrame, pool: DataFrame)
     def others(key: str, to: str) -> DataFrame:
         return d.groupBy(G, key).agg(F.count("*").alias(f"__kl_{to}_n"), F.sum("p1").alias(f"__kl_{to}_p"))
 
-    d = d.withColumn("c_concat", F.coalesce("c_concat", F.lit("")))
+    d = materialize(d.withColumn("c_concat", F.coalesce("c_concat", F.lit(""))), "numbers-and-names")
     d = d.join(others("first2", "num"), [G, "first2"]).join(others("c_concat", "name"), [G, "c_concat"])
     number = lambda to: F.col(f"__kl_{to}_n") - 1
     mean = lambda to: (F.col(f"__kl_{to}_p") - F.col("p1")) / F.greatest(number(to), F.lit(1))
@@ -81,7 +83,8 @@ def number_and_cluster_features(d: DataFrame, clean: DataFrame, pool: DataFrame)
 def anchor_features(d: DataFrame) -> DataFrame:
     """Features against every other anchor (p of at least 0.9) of the clean record: an equi-join on that record."""
     anchors = d.where(F.col("p1") >= ANCHOR_P).select(G, F.col("cand_id").alias("anchor"), F.col("n2").alias("an2"), F.col("c_name").alias("aname"), F.col("c_addr").alias("aaddr"))
-    x = d.select(G, "cand_id", "n2", "c_name", "c_addr").join(anchors, G).where(F.col("cand_id") != F.col("anchor"))
+    # spread by candidate: the kernels below are costly, and the pairs of one record may be many
+    x = d.select(G, "cand_id", "n2", "c_name", "c_addr").repartition("cand_id").join(anchors, G).where(F.col("cand_id") != F.col("anchor"))
     x = x.withColumns({
         "ns": similarity("token_set_ratio", F.col("c_name"), F.col("aname")) / 100,
         "ad": similarity("token_set_ratio", F.col("c_addr"), F.col("aaddr")) / 100,
@@ -96,5 +99,5 @@ def anchor_features(d: DataFrame) -> DataFrame:
 
 
 def stage2_features(scored: DataFrame, clean: DataFrame, pool: DataFrame) -> DataFrame:
-    d = anchor_features(number_and_cluster_features(claim_features(scored), clean, pool))
+    d = anchor_features(materialize(number_and_cluster_features(claim_features(scored), clean, pool), "clusters"))
     return d.select(G, "cand_id", *(F.col(f).cast("double").alias(f) for f in STAGE2_FEATURES))
