@@ -11,7 +11,7 @@ from kinloom.plans import comparison_queries, linkage_queries
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(DATA).exists(), reason="no test tables")
-QUERIES = ["q_block_topk", "q_reverse_search"]
+QUERIES = ["q_block_topk", "q_reverse_search", "q_block_recall"]
 
 
 def _broadcasts_keys(df) -> bool:
