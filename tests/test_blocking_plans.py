@@ -12,7 +12,7 @@ from kinloom.plans import comparison_queries, linkage_queries
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(DATA).exists(), reason="no test tables")
 QUERIES = [
-    "q_block_topk", "q_reverse_search", "q_block_recall", "q_candidates_none", "q_candidates_v17", "q_block_log_weight", "q_missed_pairs",
+    "q_block_topk", "q_reverse_search", "q_block_recall", "q_candidates_none", "q_candidates_v17", "q_block_log_weight", "q_missed_pairs", "q_candidates_union",
 ]
 
 
