@@ -42,3 +42,30 @@ def test_keys_are_shuffled(spark, monkeypatch, name):
     seen.append(entry.queries()[name](spark, DATA))
     assert any("Generate explode(concat(" in x._jdf.queryExecution().executedPlan().toString() for x in seen)
     assert not any(map(_broadcasts_keys, seen))
+
+
+def _broadcasts_texts(df) -> bool:
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [re.search(r"\w", x).start() if re.search(r"\w", x) else 0 for x in lines]
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            if any(re.search(r"\b[na][12]#", x) for x in lines[i + 1 : end]):
+                return True
+    return False
+
+
+@pytest.mark.parametrize("name", ["q_candidates_v17", "q_reverse_search", "q_candidates_union"])
+def test_texts_of_records_are_shuffled(spark, monkeypatch, name):
+    seen = []
+
+    def noted(df, *args):
+        seen.append(df)
+        return write(df, *args)
+
+    write = session.materialize
+    for module in (session, linkage_queries, comparison_queries):
+        monkeypatch.setattr(module, "materialize", noted)
+    seen.append(entry.queries()[name](spark, DATA))
+    assert any(re.search(r"\bn2#", x._jdf.queryExecution().executedPlan().toString()) for x in seen)
+    assert not any(map(_broadcasts_texts, seen))
