@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from kinloom import session
+from kinloom.operators import blocking
 from kinloom.plans import comparison_queries, linkage_queries
 
 DATA = "/root/testdata/sf0.001"
@@ -69,3 +70,34 @@ def test_texts_of_records_are_shuffled(spark, monkeypatch, name):
     seen.append(entry.queries()[name](spark, DATA))
     assert any(re.search(r"\bn2#", x._jdf.queryExecution().executedPlan().toString()) for x in seen)
     assert not any(map(_broadcasts_texts, seen))
+
+
+@pytest.mark.parametrize("name", ["q_block_recall"])
+def test_slices_give_the_rows_of_the_whole(spark, monkeypatch, name):
+    """Pairs of labelled records only, a slice of the clean records on disk at a time."""
+    whole = sorted(map(tuple, entry.queries()[name](spark, DATA).collect()))
+    names, asked = [], []
+
+    def noted(df, name="step"):
+        names.append(name)
+        return write(df, name)
+
+    def counted(queries, *args):
+        asked.append(queries.count())
+        return score(queries, *args)
+
+    write, score = session.materialize, blocking._scores
+    for module in (session, linkage_queries, comparison_queries):
+        monkeypatch.setattr(module, "materialize", noted)
+    monkeypatch.setattr(blocking, "_scores", counted)
+    monkeypatch.setattr(blocking, "RECORDS_PER_SLICE", 7)
+    assert sorted(map(tuple, entry.queries()[name](spark, DATA).collect())) == whole
+    assert names.count("chosen") == len(asked) > 1
+    assert max(asked) < 20 and sum(asked) == linkage_queries.truth(spark, DATA).count()
+
+
+@pytest.mark.parametrize("name", ["q_block_recall"])
+def test_chosen_pairs_are_shuffled(spark, name):
+    plan = entry.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    kinds = re.findall(r"(\w+Join) .*cand_id#|(\w+Join) .*matched_id#", plan)
+    assert kinds and {x or y for x, y in kinds} == {"SortMergeJoin"}
