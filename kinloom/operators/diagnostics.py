@@ -275,7 +275,8 @@ def key_coverage(rarest: DataFrame, truth_pairs: DataFrame, caps: tuple[int, ...
 
 def missed_pairs(cands: DataFrame, truth_pairs: DataFrame) -> DataFrame:
     """True pairs that are in no candidate list: ``source1_entity_id, cand_id``."""
-    return truth_pairs.withColumnRenamed("matched_id", "cand_id").join(cands.select(G, "cand_id"), [G, "cand_id"], "left_anti").select(G, "cand_id").distinct()
+    # a written table of candidates is several times its file in memory: never a broadcast
+    return truth_pairs.withColumnRenamed("matched_id", "cand_id").join(cands.select(G, "cand_id").hint("merge"), [G, "cand_id"], "left_anti").select(G, "cand_id").distinct()
 
 
 def rarest_shared_keys(keys_clean: DataFrame, pool_keys: DataFrame, truth_pairs: DataFrame) -> DataFrame:

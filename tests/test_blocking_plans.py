@@ -72,7 +72,7 @@ def test_texts_of_records_are_shuffled(spark, monkeypatch, name):
     assert not any(map(_broadcasts_texts, seen))
 
 
-@pytest.mark.parametrize("name", ["q_block_recall"])
+@pytest.mark.parametrize("name", ["q_block_recall", "q_missed_pairs"])
 def test_slices_give_the_rows_of_the_whole(spark, monkeypatch, name):
     """Pairs of labelled records only, a slice of the clean records on disk at a time."""
     whole = sorted(map(tuple, entry.queries()[name](spark, DATA).collect()))
@@ -96,7 +96,7 @@ def test_slices_give_the_rows_of_the_whole(spark, monkeypatch, name):
     assert max(asked) < 20 and sum(asked) == linkage_queries.truth(spark, DATA).count()
 
 
-@pytest.mark.parametrize("name", ["q_block_recall"])
+@pytest.mark.parametrize("name", ["q_block_recall", "q_missed_pairs"])
 def test_chosen_pairs_are_shuffled(spark, name):
     plan = entry.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     kinds = re.findall(r"(\w+Join) .*cand_id#|(\w+Join) .*matched_id#", plan)
