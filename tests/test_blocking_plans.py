@@ -101,3 +101,20 @@ def test_chosen_pairs_are_shuffled(spark, name):
     plan = entry.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     kinds = re.findall(r"(\w+Join) .*cand_id#|(\w+Join) .*matched_id#", plan)
     assert kinds and {x or y for x, y in kinds} == {"SortMergeJoin"}
+
+
+@pytest.mark.parametrize("name", ["q_reverse_search"])
+def test_few_clean_records_at_a_time(spark, monkeypatch, name):
+    """Scores of a slice of the clean records, written before the next are made; the rows are those of one slice."""
+    whole = sorted(map(tuple, entry.queries()[name](spark, DATA).collect()))
+    asked = []
+
+    def counted(queries, *args):
+        asked.append(queries.count())
+        return score(queries, *args)
+
+    score = blocking._scores
+    monkeypatch.setattr(blocking, "_scores", counted)
+    monkeypatch.setattr(blocking, "RECORDS_PER_SLICE", 40)
+    assert sorted(map(tuple, entry.queries()[name](spark, DATA).collect())) == whole
+    assert len(asked) > 1 and max(asked) < 80 and sum(asked) == linkage_queries.clean(spark, DATA).count()
