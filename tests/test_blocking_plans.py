@@ -103,7 +103,7 @@ def test_chosen_pairs_are_shuffled(spark, name):
     assert kinds and {x or y for x, y in kinds} == {"SortMergeJoin"}
 
 
-@pytest.mark.parametrize("name", ["q_block_log_weight", "q_candidates_none", "q_reverse_search"])
+@pytest.mark.parametrize("name", ["q_block_log_weight", "q_candidates_none", "q_candidates_union", "q_reverse_search"])
 def test_few_clean_records_at_a_time(spark, monkeypatch, name):
     """Scores of a slice of the clean records, written before the next are made; the rows are those of one slice."""
     whole = sorted(map(tuple, entry.queries()[name](spark, DATA).collect()))
