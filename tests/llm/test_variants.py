@@ -1,5 +1,8 @@
 """Names that lack a word: which evidence joins them to a longer one."""
 
+import random
+
+from kinloom.llm import matching, names, variants
 from kinloom.llm.variants import name_clusters
 
 HOT, OTHER = "12 Kelford Street, Brackton, TX 10000", "77 Wenlow Avenue, Minaville, TX 10400"
@@ -36,3 +39,47 @@ def test_alike_names_with_places_of_their_own_are_two(spark):
     assert got["Jorpamel Clinic"] == got["Jorpamel Trading"]
     # another first letter and no place in common
     assert got["Brivexor Clinic"] != got["Drivexor Clinic"]
+
+
+def test_blocks_are_made_once_for_all_names_of_a_form(spark, monkeypatch):
+    made = {}
+
+    def noted(df, name="step"):
+        made[name] = write(df, name)
+        return made[name]
+
+    write = variants.materialize
+    monkeypatch.setattr(variants, "materialize", noted)
+    spellings = ["Vordutek Optics", "VORDUTEK OPTICS", "Vordutek Optics Inc", "vordutek optics ltd."]
+    got = clusters(spark, [(n, OTHER) for n in spellings] + [("Dolnonas Bakery", OTHER)])
+    assert len({got[n] for n in spellings}) == 1
+    forms = [r["parts"] for r in made["blocked-forms"].collect()]
+    assert sorted(f for f in forms if "vordutek" in f) == ["vordutek|optics"] and len(forms) == len(set(forms)) == 7
+
+
+def test_common_words_are_compared_only_where_they_can_tell(monkeypatch):
+    def never(*words):
+        raise AssertionError(words)
+
+    monkeypatch.setattr(names, "shortens", never)
+    assert names.same_name(["vordutek"], ["dent", "grp"], ["dolnonas"], ["dental", "group"]) == 0
+    assert names.same_name(["vordutek", "brivexor", "cludorna"], ["dent"], ["vordutek", "dolnonas", "jorpamel"], ["dental"]) == 0
+
+
+def test_edits_by_the_letters_between():
+    """Against the whole table of distances, swaps of neighbours included."""
+
+    def whole(a, b):
+        d = [[i + j if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+                if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                    d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+        return d[-1][-1]
+
+    rng = random.Random(5)
+    for _ in range(20_000):
+        a, b = ("".join(rng.choice("abc") for _ in range(rng.randrange(9))) for _ in range(2))
+        for most in (1, 2, 3):
+            assert matching.edits(a, b, most) == min(whole(a, b), most + 1)
