@@ -91,6 +91,32 @@ def test_prefix_filter_loses_nothing(spark):
     assert want and got == want
 
 
+def test_large_blocks_are_cut(spark, monkeypatch):
+    """Parts of a house number meet each other, ranges once; forms are shuffled, their pairs never."""
+    rng = random.Random(4)
+    words = ["kelford", "kelfrod", "wenlow", "brackton", "tovesu"]
+    forms = [(f"f{k:03d}", "US", [str(n) for n in range(3, rng.choice([4, 4, 7]))], "", "", sorted(rng.sample(words, 2))) for k in range(60)]
+    df = spark.createDataFrame(forms, "form string, country string, numbers array<string>, postal string, state string, words array<string>")
+    whole = sorted(map(tuple, addresses.compared_forms(df).collect()))
+    assert len({r[:2] for r in whole}) == len(whole) > 100 and {r[3] for r in whole} == {0, 2}
+    monkeypatch.setattr(addresses, "FORMS_PER_PART", 7)
+    cut = addresses.compared_forms(df)
+    assert sorted(map(tuple, cut.collect())) == whole
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("MapInPandas")[0] and "SortMergeJoin" not in plan
+
+
+def test_tables_are_released_once_read(spark):
+    from kinloom.session import application_dir, hadoop_path
+
+    fs, path = hadoop_path(spark, application_dir(spark))
+    left = lambda: {p.getPath().getName() for p in fs.listStatus(path)} if fs.exists(path) else set()
+    before = left()
+    df = spark.createDataFrame([(f"i{k:02d}", a, c) for k, (a, c, _) in enumerate(ADDRESSES)], "id string, ad string, co string")
+    addresses.same_location_pairs(df, "id", "ad", "co").collect()
+    assert {x.rpartition("-")[0] for x in left() - before} == {"half-pairs"}
+
+
 def test_names():
     v = names.Vocabulary({w: 10 for w in ("bakery", "clinic", "engineering", "international", "trading", "services", "national", "optics", "sons", "jewellers")})
     parts = lambda n: v.parts(*names.name_words(n))
