@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from kinloom.llm import matching, names, variants
 from kinloom.llm.variants import name_clusters
 
@@ -83,3 +85,29 @@ def test_edits_by_the_letters_between():
         a, b = ("".join(rng.choice("abc") for _ in range(rng.randrange(9))) for _ in range(2))
         for most in (1, 2, 3):
             assert matching.edits(a, b, most) == min(whole(a, b), most + 1)
+
+
+def test_pairs_of_forms_in_slices(spark, monkeypatch):
+    """A part of the blocks and of the pairs is on disk at a time; what is found is the same, and whole tables are not left there."""
+    stems = ["Vordutek", "Vordurek", "Dolnonas", "Dolnonsa", "Jorpamel", "Jorpamle", "Brivexor", "Cludorna"]
+    rows = [(f"{s} {c}", None, "US") for s in stems for c in ("Optics", "Bakery", "Optics Trading")]
+    parsed = variants.parsed_names(spark.createDataFrame(rows, "name string, address string, country string"), "name", "country")
+    forms = variants.blocked_forms(parsed)
+    whole = sorted(map(tuple, variants.judged_pairs(forms).collect()))
+    both = sorted(map(tuple, variants.judged_pairs(forms, forms).collect()))
+    made = []
+
+    def noted(df, name="step"):
+        made.append((name, write(df, name)))
+        return made[-1][1]
+
+    write = variants.materialize
+    monkeypatch.setattr(variants, "materialize", noted)
+    monkeypatch.setattr(variants, "FORMS_PER_SLICE", 5)
+    assert sorted(map(tuple, variants.judged_pairs(forms).collect())) == whole and len(whole) > 20
+    blocks = [df for name, df in made if name == "blocked-pairs"]
+    assert len(blocks) == 6 and [name for name, _ in made].count("name-pairs") == 5
+    for df in blocks:
+        with pytest.raises(Exception, match="PATH_NOT_FOUND|FILE_NOT_EXIST|does not exist"):
+            spark.read.parquet(df._kinloom_path).count()
+    assert sorted(map(tuple, variants.judged_pairs(forms, forms).collect())) == both and len(both) > len(whole)
