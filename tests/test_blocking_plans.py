@@ -118,3 +118,26 @@ def test_few_clean_records_at_a_time(spark, monkeypatch, name):
     monkeypatch.setattr(blocking, "RECORDS_PER_SLICE", 40)
     assert sorted(map(tuple, entry.queries()[name](spark, DATA).collect())) == whole
     assert len(asked) > 1 and max(asked) < 80 and sum(asked) == linkage_queries.clean(spark, DATA).count()
+
+
+def test_reverse_search_by_slices(spark, monkeypatch):
+    """Scores of a slice are written, searched both ways and removed before the next are made; the rows are those of one slice."""
+    run = lambda: sorted(map(tuple, entry.queries()["q_candidates_v17"](spark, DATA).collect()))
+    whole = run()
+    names, asked = [], []
+
+    def noted(df, name="step"):
+        names.append(name)
+        return write(df, name)
+
+    def counted(queries, *args):
+        asked.append(queries.count())
+        return score(queries, *args)
+
+    write, score = session.materialize, blocking._scores
+    monkeypatch.setattr(session, "materialize", noted)
+    monkeypatch.setattr(blocking, "_scores", counted)
+    monkeypatch.setattr(blocking, "RECORDS_PER_SLICE", 40)
+    assert run() == whole
+    assert names.count("block-scores") == names.count("best") == names.count("selected") == len(asked) > 1
+    assert max(asked) < 80 and sum(asked) == linkage_queries.clean(spark, DATA).count()
